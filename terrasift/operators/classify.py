@@ -66,7 +66,7 @@ def batch_scores(df: DataFrame, features: str, width: int, make_predictor, batch
                             batch_size=batch_size, input_tensor_shapes=[[width]])
     raw = run(F.when(usable, given.cast("array<double>")).otherwise(blank))
     scored = df.select("*", usable.alias("_usable"), raw.alias("_raw"))
-    failed = F.exists("_raw", lambda x: F.isnan(x))
+    failed = F.exists("_raw", lambda x: x.isNull() | F.isnan(x))
     status = F.when(F.col("_usable") & ~failed, "ok").otherwise("error")
     return scored.select(
         *[quoted(c) for c in df.columns],

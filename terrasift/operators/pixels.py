@@ -22,7 +22,7 @@ SHORT_EDGE = (256, 480)
 JITTER_SIGMA = 0.01
 BLUR_WEIGHTS = (1, 4, 6, 4, 1)
 OPENING_SIZE = 5
-LUMA_RGB = (0.299, 0.587, 0.114)
+LUMA_RGB = (299, 587, 114)  # in thousandths
 FEATURE_MEAN, FEATURE_STD = 0.5, 0.5
 FEATURE_SIZE = 64
 # End of fixed values.
@@ -101,8 +101,8 @@ def jitter(image: np.ndarray, alpha: np.ndarray) -> np.ndarray:
 
 def equalize_luma(images: np.ndarray, weights_bgr) -> np.ndarray:
     """Spread the luma histogram of each image over 0..255, colour differences kept."""
-    stack = images.astype(float)
-    luma = np.floor(stack @ np.asarray(weights_bgr) + 0.5).astype(int)
+    stack = images.astype(int)
+    luma = (stack @ np.asarray(weights_bgr) + 500) // 1000
     flat = luma.reshape(len(stack), -1)
     counts = np.stack([np.bincount(row, minlength=256) for row in flat])
     first = (counts > 0).argmax(axis=1)

@@ -87,8 +87,8 @@ def image_mean(spark, folder):
 
 
 @query("image_equalize", PIXELS + """,
-l AS (SELECT vec_id, y, x, CAST(floor(0.114::DOUBLE * max(v) FILTER (WHERE c = 0) + 0.587::DOUBLE * max(v) FILTER (WHERE c = 1)
- + 0.299::DOUBLE * max(v) FILTER (WHERE c = 2) + 0.5) AS INTEGER) AS luma FROM base GROUP BY vec_id, y, x),
+l AS (SELECT vec_id, y, x, (114 * max(v) FILTER (WHERE c = 0) + 587 * max(v) FILTER (WHERE c = 1)
+ + 299 * max(v) FILTER (WHERE c = 2) + 500) // 1000 AS luma FROM base GROUP BY vec_id, y, x),
 h AS (SELECT vec_id, luma, count(*) AS n FROM l GROUP BY vec_id, luma),
 q AS (SELECT vec_id, luma, sum(n) OVER (PARTITION BY vec_id ORDER BY luma) AS upto,
  first_value(n) OVER (PARTITION BY vec_id ORDER BY luma) AS f FROM h),

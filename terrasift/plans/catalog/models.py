@@ -107,11 +107,11 @@ WITH d AS (SELECT l_quantity x, l_extendedprice / 10000 y, {FOLD} f FROM lineite
 g AS (SELECT unnest([0, 1, 2]) f),
 m AS (SELECT g.f, avg(x) mx, avg(y) my, stddev_samp(x) sx, stddev_samp(y) sy, corr(x, y) r
  FROM g JOIN d ON d.f <> g.f GROUP BY g.f),
-c AS (SELECT f, lambda, mx, my, r * sy / sx / (1 + lambda / sy) b
- FROM m, (SELECT unnest([0.01::DOUBLE, 0.1::DOUBLE, 1.0::DOUBLE]) AS lambda)),
-s AS (SELECT c.f, lambda, sqrt(avg((y - (my + b * (x - mx))) * (y - (my + b * (x - mx))))) e FROM c JOIN d ON d.f = c.f GROUP BY c.f, lambda),
-a AS (SELECT lambda, avg(e) e FROM s GROUP BY lambda)
-SELECT 'regParam=' || lambda AS params, round(e, 5) AS rmse, e = min(e) OVER () AS best FROM a""")
+c AS (SELECT f, lam, mx, my, r * sy / sx / (1 + lam / sy) b
+ FROM m, (SELECT unnest([0.01::DOUBLE, 0.1::DOUBLE, 1.0::DOUBLE]) AS lam)),
+s AS (SELECT c.f, lam, sqrt(avg((y - (my + b * (x - mx))) * (y - (my + b * (x - mx))))) e FROM c JOIN d ON d.f = c.f GROUP BY c.f, lam),
+a AS (SELECT lam, avg(e) e FROM s GROUP BY lam)
+SELECT 'regParam=' || lam AS params, round(e, 5) AS rmse, e = min(e) OVER () AS best FROM a""")
 def cv_ridge(spark, folder):
     """Three hashed folds × three ridge strengths, against the closed form."""
     df = _one_feature(spark, folder)

@@ -55,7 +55,7 @@ def sniff(spark: SparkSession, path: str, delimiter=None, skiprows=0, encodings=
     candidates = [delimiter] if delimiter else SEPARATORS
     # Separators and quotes are ASCII and never part of a multi-byte character in
     # UTF-8 or GBK, so fields can be counted before the encoding is known.
-    latin = F.decode(F.col("value").cast("binary"), F.lit("ISO-8859-1"))
+    latin = F.decode(F.col("value").cast("binary"), "ISO-8859-1")
     header_line = re.sub(QUOTED_FIELD, "", head[-1].decode("latin-1"))
     widths = [len(re.split(_regex(s), header_line.strip() if s == r"\s+" else header_line)) for s in candidates]
     leftovers = F.regexp_replace(latin, GBK_PAIR, "").rlike(r"[\x80-\xFF]")
@@ -121,7 +121,7 @@ def _body_lines(spark, path, charset, skip):
         raise ValueError("leading lines can only be skipped in a single file")
     position = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     raw = F.col("value").cast("binary")
-    text = F.col("value") if charset == "UTF-8" else F.decode(raw, F.lit(charset))
+    text = F.col("value") if charset == "UTF-8" else F.decode(raw, charset)
     return (lines.select(text.alias("line"), position.alias("pos"),
                          F.col("_metadata.file_block_start").alias("block"))
             .filter((F.col("block") > 0) | (F.col("pos") >= skip))
