@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.ml import Pipeline
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
 from pyspark.sql import DataFrame, functions as F
@@ -12,9 +12,8 @@ from pyspark.sql.types import ArrayType, DoubleType
 from terrasift.functions import vectors
 from terrasift.functions.labels import class_name
 from terrasift.functions.numeric import quoted
-from terrasift.operators.models import MODEL_SEED
+from terrasift.operators.models import MODEL_SEED, fit
 from terrasift.registry import IMAGE_CLASSES
-from terrasift.session import spread
 
 # Batch size of inference, epochs of training.
 BATCH_SIZE = 32
@@ -28,18 +27,14 @@ def with_vector(df: DataFrame, features: str, output="features") -> DataFrame:
 
 def fit_classifier(df: DataFrame, features: str, label: str, kind="logistic", layers=None, max_iter=EPOCHS):
     """Distributed classifier over a feature-array column."""
-    ready = spread(with_vector(df.select(quoted(features), quoted(label)), features)).persist()
-    try:
-        if kind == "logistic":
-            estimator = LogisticRegression(featuresCol="features", labelCol=label, maxIter=max_iter)
-        elif kind == "perceptron":
-            estimator = MultilayerPerceptronClassifier(featuresCol="features", labelCol=label, layers=layers,
-                                                       maxIter=max_iter, seed=MODEL_SEED)
-        else:
-            raise ValueError(f"kind must be 'logistic' or 'perceptron', not {kind!r}")
-        return Pipeline(stages=[estimator]).fit(ready)
-    finally:
-        ready.unpersist()
+    if kind == "logistic":
+        estimator = LogisticRegression(featuresCol="features", labelCol=label, maxIter=max_iter)
+    elif kind == "perceptron":
+        estimator = MultilayerPerceptronClassifier(featuresCol="features", labelCol=label, layers=layers,
+                                                   maxIter=max_iter, seed=MODEL_SEED)
+    else:
+        raise ValueError(f"kind must be 'logistic' or 'perceptron', not {kind!r}")
+    return PipelineModel(stages=[fit(estimator, with_vector(df, features))])
 
 
 def classify(df: DataFrame, model, features: str, keep=()) -> DataFrame:

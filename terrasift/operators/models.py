@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 import math
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException, PySparkException
@@ -34,6 +35,8 @@ APP_TREES = 100
 CV_PARALLELISM = 4
 # End of fixed values.
 
+FOLD = "_fold"
+
 
 def linear(label, features="features", **params):
     return LinearRegression(featuresCol=features, labelCol=label, **params)
@@ -69,30 +72,36 @@ def candidates(label, features="features", boost_params=None) -> dict:
     }
 
 
-class HashFoldValidator(CrossValidator):
-    """``CrossValidator`` whose folds come from a hash of each row's key.
-
-    Random folds drawn per partition change when a lost executor makes Spark
-    recompute a shuffled input in another order; hashed folds never do.
-    """
+@contextmanager
+def training_rows(df: DataFrame, columns):
+    """Only the columns a fit reads, spread over the cores and kept while it iterates."""
+    rows = spread(df.select(*[quoted(c) for c in columns])).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield rows
+    finally:
+        rows.unpersist()
 
-    def __init__(self, key_cols, **params):
-        super().__init__(**params)
-        self._key_cols = list(key_cols)
 
-    def _kFold(self, dataset):
-        folds, seed = self.getNumFolds(), self.getSeed()
-        fold = F.floor(unit_interval(row_hash(self._key_cols, seed)) * folds)
-        return [(dataset.filter(fold != i), dataset.filter(fold == i)) for i in range(folds)]
+def fit(estimator, df: DataFrame):
+    """Fit on cached rows holding just the features and the label."""
+    with training_rows(df, [estimator.getFeaturesCol(), estimator.getLabelCol()]) as rows:
+        return estimator.fit(rows)
 
 
 def cross_validate(df, estimator, values, label, key_cols, folds=3, seed=MODEL_SEED, parallelism=CV_PARALLELISM):
-    """Fit the grid by RMSE; returns a ``CrossValidatorModel``."""
-    validator = HashFoldValidator(
-        key_cols, estimator=estimator, estimatorParamMaps=grid(estimator, values), numFolds=folds, seed=seed,
-        parallelism=parallelism,
+    """Fit the grid by RMSE; returns a ``CrossValidatorModel``.
+
+    Folds come from a hash of each row's key: folds drawn at random per
+    partition would change when a lost executor makes Spark recompute a
+    shuffled input in another order.
+    """
+    fold = F.floor(unit_interval(row_hash(key_cols, seed)) * folds).cast("int")
+    validator = CrossValidator(
+        estimator=estimator, estimatorParamMaps=grid(estimator, values), numFolds=folds, seed=seed,
+        foldCol=FOLD, parallelism=parallelism,
         evaluator=RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="rmse"))
-    return validator.fit(df)
+    with training_rows(df.withColumn(FOLD, fold), [estimator.getFeaturesCol(), label, FOLD]) as rows:
+        return validator.fit(rows)
 
 
 def cv_report(spark: SparkSession, cv_model) -> DataFrame:
@@ -125,9 +134,8 @@ def leaderboard(train: DataFrame, test: DataFrame, models: dict, label: str, key
     """
     spark = train.sparkSession
     rows = []
-    train = spread(train).persist(StorageLevel.MEMORY_AND_DISK)
-    test = test.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    keys = [c for c in key_cols if c != label]
+    with training_rows(train, [*keys, "features", label]) as train, training_rows(test, ["features", label]) as test:
         for name, (estimator, values) in models.items():
             try:
                 fitted = (cross_validate(train, estimator, values, label, key_cols, folds).bestModel
@@ -137,9 +145,6 @@ def leaderboard(train: DataFrame, test: DataFrame, models: dict, label: str, key
             except (PySparkException, ValueError) as err:
                 log.exception("model %s failed", name)
                 rows.append((name, math.inf, 0.0, f"failed: {type(err).__name__}"))
-    finally:
-        train.unpersist()
-        test.unpersist()
     return spark.createDataFrame(rows, "model string, rmse double, accuracy double, status string")
 
 
@@ -152,12 +157,9 @@ def train_and_score_all(df: DataFrame, spec: DatasetSpec, key_cols, trees=APP_TR
     ready = drop_missing(cast_columns(df, spec.required), spec.required)
     require_rows(ready, 2, spec.name)
     marked = splits.holdout_split(ready, key_cols)
-    train = spread(marked.filter(F.col("split") == "train")).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        stages = feature_stages(spec.features, scale=False, normalize=False)
+    stages = feature_stages(spec.features, scale=False, normalize=False)
+    with training_rows(marked.filter(F.col("split") == "train"), spec.required) as train:
         model = Pipeline(stages=[*stages, random_forest(spec.label, numTrees=trees, **params)]).fit(train)
-    finally:
-        train.unpersist()
     scored = model.transform(marked)
     held_out = metrics.rmse(scored.filter(F.col("split") == "test"), spec.label)
     return scored.select(*[quoted(c) for c in df.columns], "split", "prediction"), held_out

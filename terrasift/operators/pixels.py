@@ -275,15 +275,15 @@ def _as_row(row, result, options):
     return [*base, "error" if failed else "ok", f"{type(result).__name__}: {result}" if failed else None]
 
 
-def pixel_table(df: DataFrame) -> DataFrame:
+def pixel_table(df: DataFrame, keep=()) -> DataFrame:
     """One row per pixel and channel ``(path, y, x, c, value)``, for checks and reports."""
     digits = F.hex("data")
     count = (F.octet_length("data") - 1).cast("int")
     exploded = df.filter(F.octet_length("data") > 0).select(
-        "path", "width", "channels", digits.alias("digits"), F.explode(F.sequence(F.lit(0), count)).alias("i"))
+        "path", *keep, "width", "channels", digits.alias("digits"), F.explode(F.sequence(F.lit(0), count)).alias("i"))
     value = F.conv(F.substring(F.col("digits"), F.col("i") * 2 + 1, F.lit(2)), 16, 10).cast("int")
     cell = F.col("i").cast("double") / F.col("channels")
     pixel = F.floor(cell).cast("int")
-    return exploded.select("path", F.floor(pixel / F.col("width")).cast("int").alias("y"),
+    return exploded.select("path", *keep, F.floor(pixel / F.col("width")).cast("int").alias("y"),
                            (pixel % F.col("width")).alias("x"), (F.col("i") % F.col("channels")).alias("c"),
                            value.alias("value"))

@@ -112,7 +112,7 @@ def pred_vs_actual(spark, folder):
 def _tree(spark, folder):
     names = ["l_quantity", "l_discount", "l_tax"]
     df = assemble(table(spark, folder, "lineitem"), names, "features").select("features", "l_extendedprice")
-    return models.decision_tree("l_extendedprice", maxDepth=3).fit(models.spread(df)), names
+    return models.fit(models.decision_tree("l_extendedprice", maxDepth=3), df), names
 
 
 @query("tree_rules")

@@ -20,14 +20,13 @@ def _level(x):
 
 def _bytes(rows):
     """Picture rows in the given order as hex of BGR bytes."""
-    values = F.transform("embedding", _level)
     cells = F.sequence(F.lit(0), F.lit(SIDE * SIDE * 3 - 1))
 
     def cell(j):
         line, rest = F.floor(j / (SIDE * 3)), j % (SIDE * 3)
         i = rows(line) * SIDE + F.floor(rest / 3)
         place = (i + 21 * (rest % 3)) % (SIDE * SIDE)
-        return F.lpad(F.hex(F.get(values, place.cast("int"))), 2, "0")
+        return F.lpad(F.hex(_level(F.get("embedding", place.cast("int")))), 2, "0")
     return F.array_join(F.transform(cells, cell), "")
 
 
@@ -73,10 +72,10 @@ def image_decode(spark, folder):
     target = scratch_path(spark, "bitmaps")
     sinks.write_image_files(files, target)
     found = images.with_class(images.scan_images(spark, target, ["txt"]), [str(i) for i in range(10)])
-    label = found.select("path", "label_id", F.col("label").cast("bigint").alias("label"))
-    sums = ops.pixel_table(found).groupBy("path", "c").agg(
-        F.sum("value").alias("total"), F.sum(F.col("value") * (F.col("y") * SIDE + F.col("x") + 1)).alias("weighted"))
-    return sums.join(label, "path").groupBy("label", "c").agg(
+    weight = F.col("y") * SIDE + F.col("x") + 1
+    sums = ops.pixel_table(found, ["label"]).groupBy("path", "label", "c").agg(
+        F.sum("value").alias("total"), F.sum(F.col("value") * weight).alias("weighted"))
+    return sums.groupBy(F.col("label").cast("bigint").alias("label"), "c").agg(
         F.count("*").alias("pictures"), F.sum("total").alias("total"), F.sum("weighted").alias("weighted"))
 
 

@@ -61,7 +61,7 @@ SELECT l_orderkey, l_linenumber, round(CASE WHEN q <= cut THEN lo ELSE hi END, 6
 def dt_single_split(spark, folder):
     """Depth 1, where the best split can be found by hand."""
     df = _one_feature(spark, folder)
-    model = ops.decision_tree(LABEL, maxDepth=1, maxBins=64).fit(df)
+    model = ops.fit(ops.decision_tree(LABEL, maxDepth=1, maxBins=64), df)
     return model.transform(df).select("l_orderkey", "l_linenumber", F.round("prediction", 6).alias("prediction"))
 
 
@@ -73,14 +73,14 @@ SELECT l_orderkey, l_linenumber, round(p1 + 0.1 * CASE WHEN q <= cut THEN lo ELS
 def gbt_two_rounds(spark, folder):
     """Two boosting rounds of depth 1: the second tree fits the doubled residual, shrunk by 0.1."""
     df = _one_feature(spark, folder)
-    model = ops.boosted_trees(LABEL, maxIter=2, maxDepth=1, maxBins=64).fit(df)
+    model = ops.fit(ops.boosted_trees(LABEL, maxIter=2, maxDepth=1, maxBins=64), df)
     return model.transform(df).select("l_orderkey", "l_linenumber", F.round("prediction", 6).alias("prediction"))
 
 
 def _scored(spark, folder, estimator):
     df = features.assemble(_items(spark, folder), MEASURES, "features")
     train, test = splits.random_parts(df, KEYS)
-    model = estimator.fit(ops.spread(train))
+    model = ops.fit(estimator, train)
     return model.transform(test).select("l_orderkey", "l_linenumber", LABEL, "prediction")
 
 
@@ -115,21 +115,21 @@ SELECT 'regParam=' || lam AS params, round(e, 5) AS rmse, e = min(e) OVER () AS
 def cv_ridge(spark, folder):
     """Three hashed folds × three ridge strengths, against the closed form."""
     df = _one_feature(spark, folder)
-    fitted = ops.cross_validate(ops.spread(df), ops.linear(LABEL, solver="normal"), {"regParam": [0.01, 0.1, 1.0]}, LABEL, KEYS)
+    fitted = ops.cross_validate(df, ops.linear(LABEL, solver="normal"), {"regParam": [0.01, 0.1, 1.0]}, LABEL, KEYS)
     return ops.cv_report(spark, fitted).select("params", F.round("rmse", 5).alias("rmse"), "best")
 
 
 @query("cv_grid")
 def cv_grid(spark, folder):
     df = features.assemble(_items(spark, folder), MEASURES, "features")
-    fitted = ops.cross_validate(ops.spread(df), ops.linear(LABEL), ops.LINEAR_GRID, LABEL, KEYS)
+    fitted = ops.cross_validate(df, ops.linear(LABEL), ops.LINEAR_GRID, LABEL, KEYS)
     return ops.cv_report(spark, fitted)
 
 
 @query("best_parameters")
 def best_parameters(spark, folder):
     df = features.assemble(_items(spark, folder), MEASURES, "features")
-    fitted = ops.cross_validate(ops.spread(df), ops.decision_tree(LABEL), {"maxDepth": [2, 4]}, LABEL, KEYS)
+    fitted = ops.cross_validate(df, ops.decision_tree(LABEL), {"maxDepth": [2, 4]}, LABEL, KEYS)
     return ops.parameter_report(spark, fitted.bestModel)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from terrasift.functions.labels import class_name, parent_dir
 from terrasift.registry import IMAGE_CLASSES
+from terrasift.session import spread
 
 log = logging.getLogger(__name__)
 
@@ -116,5 +117,5 @@ def write_image_files(df: DataFrame, path: str, content_col="content", label_col
     The text sink stores the bytes unchanged and adds a newline, which image
     decoders ignore. For tools that need files; Parquet is the better store.
     """
-    (df.select(F.col(content_col).cast("string").alias("value"), F.col(label_col).alias("label"))
+    (spread(df).select(F.col(content_col).cast("string").alias("value"), F.col(label_col).alias("label"))
      .write.mode("overwrite").option("maxRecordsPerFile", 1).partitionBy("label").text(path))
