@@ -1,3 +1,5 @@
+import math
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -87,6 +89,5 @@ def test_misclassified_by_path_is_deterministic(spark):
 
 def test_losses(spark):
     df = spark.createDataFrame([(0, [0.5, 0.5], 0), (1, [0.5, 0.5], 0), (1, [0.75, 0.25], 1)], "y int, p array<double>, b int")
-    import math
     assert metrics.log_loss(df, "y", "p").first()[0] == pytest.approx((2 * math.log(2) + math.log(4)) / 3)
     assert metrics.batch_mean_loss(df, "y", "p", "b").first()[0] == pytest.approx((math.log(2) + math.log(4)) / 2)
