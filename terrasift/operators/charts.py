@@ -22,14 +22,14 @@ def histogram(df: DataFrame, column: str, bins=10) -> DataFrame:
     value = quoted(column).cast("double")
     valued = df.select(value.alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
     edges = valued.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi")).alias("e")).scalar()
-    width = edges["hi"] - edges["lo"]
-    slot = F.when(width > 0, F.least(F.lit(bins - 1), F.floor((F.col("v") - edges["lo"]) / width * bins)))
-    counts = valued.groupBy(F.coalesce(slot, F.lit(0)).cast("bigint").alias("bin")).agg(F.count("*").alias("n"))
-    every = df.sparkSession.range(bins).select(F.col("id").alias("bin"))
+    lo, width = F.col("e.lo"), F.col("e.hi") - F.col("e.lo")
+    slot = F.when(width > 0, F.least(F.lit(bins - 1), F.floor((F.col("v") - lo) / width * bins)))
+    counts = (valued.select("v", edges.alias("e"))
+              .groupBy(F.coalesce(slot, F.lit(0)).cast("bigint").alias("bin")).agg(F.count("*").alias("n")))
+    every = df.sparkSession.range(bins).select(F.col("id").alias("bin"), edges.alias("e"))
     return every.join(counts, "bin", "left").select(
-        "bin", (edges["lo"] + F.col("bin") * width / bins).alias("lower"),
-        (edges["lo"] + (F.col("bin") + 1) * width / bins).alias("upper"),
-        F.coalesce("n", F.lit(0)).alias("n"))
+        "bin", (lo + F.col("bin") * width / bins).alias("lower"),
+        (lo + (F.col("bin") + 1) * width / bins).alias("upper"), F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def box_stats(df: DataFrame, value: str, by: str, reach=1.5, **options) -> DataFrame:

@@ -53,10 +53,13 @@ def minmax_column(name: str, low, high):
     return (value - F.lit(low)) / F.lit(high - low)
 
 
-def l2_columns(columns) -> list:
-    """Each column divided by the row's Euclidean norm; a zero row stays zero."""
-    norm = F.sqrt(reduce(add, [c * c for c in columns]))
-    return [F.when(norm == 0, F.lit(0.0)).otherwise(c / norm) for c in columns]
+def l2_norm(columns):
+    return F.sqrt(reduce(add, [c * c for c in columns]))
+
+
+def l2_column(column, norm):
+    """A value divided by its row's Euclidean norm; a zero row stays zero."""
+    return F.when(norm == 0, F.lit(0.0)).otherwise(column / norm)
 
 
 def scaled_table(df: DataFrame, columns, keep=None, ranges=None, normalize=True) -> DataFrame:
@@ -70,8 +73,12 @@ def scaled_table(df: DataFrame, columns, keep=None, ranges=None, normalize=True)
     scaled = df.select(*[quoted(c) for c in dict.fromkeys([*base, *columns])],
                        *[minmax_column(c, *ranges[c]).alias(SCALED_PREFIX + c) for c in columns])
     names = [quoted(SCALED_PREFIX + c) for c in columns]
-    extra = [c.alias(NORMAL_PREFIX + n) for n, c in zip(columns, l2_columns(names))] if normalize else []
-    return scaled.select(*[quoted(c) for c in base], *names, *extra)
+    if not normalize:
+        return scaled.select(*[quoted(c) for c in base], *names)
+    # The norm is a column of its own so that it is computed once per row.
+    normed = scaled.select("*", l2_norm(names).alias("_norm"))
+    return normed.select(*[quoted(c) for c in base], *names,
+                         *[l2_column(n, F.col("_norm")).alias(NORMAL_PREFIX + c) for c, n in zip(columns, names)])
 
 
 def feature_table(df: DataFrame, columns, keep=None) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from terrasift.functions.numeric import is_missing, quoted, true_share, within
 from terrasift.operators.quality import require_columns
 from terrasift.registry import IMAGE_CLASSES, UNKNOWN_LABEL
+from terrasift.session import stage_table
 
 # Tolerance of the regression accuracy.
 TOLERANCE = 0.5
@@ -92,8 +93,7 @@ def confusion_counts(df: DataFrame, true: str, predicted: str) -> DataFrame:
 
 def label_universe(df: DataFrame, true: str, predicted: str, classes=IMAGE_CLASSES) -> DataFrame:
     """Sorted union of true, predicted and configured labels."""
-    cells = confusion_counts(df, true, predicted)
-    return _labels_row(cells, classes).select(F.explode("labels").alias("label"))
+    return _labels_row(confusion_counts(df, true, predicted), classes).select(F.explode("labels").alias("label"))
 
 
 def _labels_row(cells, classes):
@@ -119,9 +119,10 @@ def confusion_matrix(df: DataFrame, true: str, predicted: str, classes=IMAGE_CLA
 def heatmap_triples(df: DataFrame, true: str, predicted: str, classes=IMAGE_CLASSES) -> DataFrame:
     """Cells with positions: ``x`` of the predicted, ``y`` of the true label.
 
-    The table is scanned once; labels and cells come from the same counts.
+    The cells are staged, so the table is scanned once although they give both
+    the labels and the numbers.
     """
-    cells = confusion_counts(df, true, predicted)
+    cells = stage_table(confusion_counts(df, true, predicted), "cells")
     rows = _labels_row(cells, classes).select("labels", F.posexplode("labels").alias("y", "true_label"))
     grid = rows.select("y", "true_label", F.posexplode("labels").alias("x", "predicted"))
     return (grid.join(cells, ["true_label", "predicted"], "left")

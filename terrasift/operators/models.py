@@ -74,12 +74,21 @@ def candidates(label, features="features", boost_params=None) -> dict:
 
 @contextmanager
 def training_rows(df: DataFrame, columns):
-    """Only the columns a fit reads, spread over the cores and kept while it iterates."""
-    rows = spread(df.select(*[quoted(c) for c in columns])).persist(StorageLevel.MEMORY_AND_DISK)
+    """Only the columns a fit reads, cached while it iterates and spread over the cores.
+
+    A table with fewer partitions than cores is small enough to be cached once
+    more after a repartition; a large one is cached as it was read.
+    """
+    rows = df.select(*[quoted(c) for c in columns]).persist(StorageLevel.MEMORY_AND_DISK)
+    wide = spread(rows)
+    if wide is not rows:
+        wide = wide.persist(StorageLevel.MEMORY_AND_DISK)
+        wide.count()
+        rows.unpersist()
     try:
-        yield rows
+        yield wide
     finally:
-        rows.unpersist()
+        wide.unpersist()
 
 
 def fit(estimator, df: DataFrame):
@@ -88,20 +97,28 @@ def fit(estimator, df: DataFrame):
         return estimator.fit(rows)
 
 
-def cross_validate(df, estimator, values, label, key_cols, folds=3, seed=MODEL_SEED, parallelism=CV_PARALLELISM):
-    """Fit the grid by RMSE; returns a ``CrossValidatorModel``.
+def with_folds(df: DataFrame, key_cols, folds, seed=MODEL_SEED) -> DataFrame:
+    """Add the fold number of each row, from a hash of its key.
 
-    Folds come from a hash of each row's key: folds drawn at random per
-    partition would change when a lost executor makes Spark recompute a
-    shuffled input in another order.
+    Folds drawn at random per partition would change when a lost executor makes
+    Spark recompute a shuffled input in another order.
     """
-    fold = F.floor(unit_interval(row_hash(key_cols, seed)) * folds).cast("int")
+    return df.withColumn(FOLD, F.floor(unit_interval(row_hash(key_cols, seed)) * folds).cast("int"))
+
+
+def _validate(rows, estimator, values, label, folds, seed=MODEL_SEED, parallelism=CV_PARALLELISM):
     validator = CrossValidator(
         estimator=estimator, estimatorParamMaps=grid(estimator, values), numFolds=folds, seed=seed,
         foldCol=FOLD, parallelism=parallelism,
         evaluator=RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="rmse"))
-    with training_rows(df.withColumn(FOLD, fold), [estimator.getFeaturesCol(), label, FOLD]) as rows:
-        return validator.fit(rows)
+    return validator.fit(rows)
+
+
+def cross_validate(df, estimator, values, label, key_cols, folds=3, seed=MODEL_SEED, parallelism=CV_PARALLELISM):
+    """Fit the grid by RMSE; returns a ``CrossValidatorModel``."""
+    folded = with_folds(df, key_cols, folds, seed)
+    with training_rows(folded, [estimator.getFeaturesCol(), label, FOLD]) as rows:
+        return _validate(rows, estimator, values, label, folds, seed, parallelism)
 
 
 def cv_report(spark: SparkSession, cv_model) -> DataFrame:
@@ -134,12 +151,12 @@ def leaderboard(train: DataFrame, test: DataFrame, models: dict, label: str, key
     """
     spark = train.sparkSession
     rows = []
-    keys = [c for c in key_cols if c != label]
-    with training_rows(train, [*keys, "features", label]) as train, training_rows(test, ["features", label]) as test:
+    train = with_folds(train, key_cols, folds)
+    with training_rows(train, ["features", label, FOLD]) as train, training_rows(test, ["features", label]) as test:
         for name, (estimator, values) in models.items():
             try:
-                fitted = (cross_validate(train, estimator, values, label, key_cols, folds).bestModel
-                          if values else estimator.fit(train))
+                fitted = (_validate(train, estimator, values, label, folds).bestModel if values
+                          else estimator.fit(train))
                 report = metrics.regression_report(fitted.transform(test), label).first()
                 rows.append((name, report["rmse"], report["accuracy"], "ok"))
             except (PySparkException, ValueError) as err:

@@ -68,15 +68,17 @@ def running_totals(df: DataFrame, order_col: str, sums, groups=(), ascending=Tru
     """
     table = stage_table(df, "ordered") if stage else df
     buckets = -(-table.count() // rows_per_bucket)
-    if buckets > 1:
-        probs = [i / buckets for i in range(1, buckets)]
-        bounds = sorted(set(table.approxQuantile(order_col, probs, 1.0 / (4 * buckets))))
-        splits = [float("-inf"), *bounds, float("inf")]
-        ranged = Bucketizer(splits=splits, inputCol="_order", outputCol="_range", handleInvalid="keep").transform(
-            table.withColumn("_order", F.col(order_col).cast("double"))).drop("_order")
-    else:
-        ranged = table.withColumn("_range", F.lit(0.0))
     direction = (lambda c: F.col(c).asc()) if ascending else (lambda c: F.col(c).desc())
+    if buckets <= 1:
+        whole = Window.partitionBy(*groups)
+        upto = whole.orderBy(direction(order_col)).rowsBetween(Window.unboundedPreceding, 0)
+        return table.select("*", *[F.sum(s).over(upto).alias(f"cum_{s}") for s in sums],
+                            *[F.sum(s).over(whole).alias(f"all_{s}") for s in sums])
+    probs = [i / buckets for i in range(1, buckets)]
+    bounds = sorted(set(table.approxQuantile(order_col, probs, 1.0 / (4 * buckets))))
+    splits = [float("-inf"), *bounds, float("inf")]
+    ranged = Bucketizer(splits=splits, inputCol="_order", outputCol="_range", handleInvalid="keep").transform(
+        table.withColumn("_order", F.col(order_col).cast("double"))).drop("_order")
     keys = [*groups, "_range"]
     totals = ranged.groupBy(*keys).agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])
     before = Window.partitionBy(*groups).orderBy(direction("_range"))

@@ -49,22 +49,21 @@ def _cut(df, key_cols, strata, seed, cuts, names, digits):
     keys = [f"s{i}" for i in range(len(strata))]
     # One row per stratum, staged so the join's broadcast rests on its real size.
     limits = stage_table(hash_thresholds(hashed, keys, cuts, digits), "split-limits")
-    h = row_hash(key_cols, seed)
-    branches = F
-    for i, name in enumerate(names[:-1]):
-        branches = branches.when(h <= F.coalesce(F.col(f"t{i}"), F.lit("")), name)
-    split = branches.otherwise(names[-1]).alias("split")
-    base = df.select(*[quoted(c) for c in df.columns])
+    columns = df.columns
+    marked = df.select(*[quoted(c) for c in columns], row_hash(key_cols, seed).alias("_h"))
     if strata:
         on = F.lit(True)
         for k, s in zip(keys, strata):
             on = on & quoted(s).eqNullSafe(limits[k])
-        return base.join(limits, on, "left").select(*[quoted(c) for c in df.columns], split)
-    row = limits.first()
-    literal = F
-    for i, name in enumerate(names[:-1]):
-        literal = literal.when(h <= F.lit((row and row[f"t{i}"]) or ""), name)
-    return base.select("*", literal.otherwise(names[-1]).alias("split"))
+        marked = marked.join(limits, on, "left")
+        bounds = [F.coalesce(F.col(f"t{i}"), F.lit("")) for i in range(len(names) - 1)]
+    else:
+        row = limits.first()
+        bounds = [F.lit((row and row[f"t{i}"]) or "") for i in range(len(names) - 1)]
+    split = F
+    for bound, name in zip(bounds, names):
+        split = split.when(F.col("_h") <= bound, name)
+    return marked.select(*[quoted(c) for c in columns], split.otherwise(names[-1]).alias("split"))
 
 
 def stratified_split(df: DataFrame, class_col: str, key_cols, train=TRAIN_SHARE, val=VAL_SHARE, test=None,

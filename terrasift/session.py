@@ -70,10 +70,12 @@ def stage_table(df, label: str):
 
 
 def spread(df, min_partitions=None):
-    """Repartition only when the scan yields fewer partitions than cores.
+    """Repartition only when the plan yields fewer partitions than cores.
 
-    Iterative fits over a table that sits in one small file would otherwise run
-    on one core; a big scan has plenty of splits and is returned unchanged.
+    Work over a table that sits in one small file would otherwise run on one
+    core; a big scan has plenty of splits and is returned unchanged. Use it on
+    scans and cached tables: asking a plan that shuffles for its partitions
+    would run the shuffle.
     """
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= want else df.repartition(want)
