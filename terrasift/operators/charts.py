@@ -98,13 +98,23 @@ def predicted_vs_actual(scored: DataFrame, label: str, prediction="prediction",
 
 
 def tree_rules(spark, model, feature_names=None) -> DataFrame:
-    """The printed tree, one numbered line per row, features by name when given."""
-    lines = [text for text in model.toDebugString.split("\n") if text.strip()]
-    table = spark.createDataFrame(list(enumerate(lines)), "line int, rule string")
-    rule = F.col("rule")
-    for i, name in reversed(list(enumerate(feature_names or []))):
-        rule = F.regexp_replace(rule, rf"feature {i}\b", name.replace("\\", r"\\").replace("$", r"\$"))
-    return table.select("line", rule.alias("rule"))
+    """The tree as rows in print order: depth, condition or leaf, and its numbers.
+
+    ``kind`` is ``if``, ``else`` or ``leaf``; conditions have ``feature`` and
+    ``threshold`` (left branch: at most the threshold), leaves ``prediction``.
+    """
+    lines = [text for text in model.toDebugString.split("\n")[1:] if text.strip()]
+    printed = spark.createDataFrame(list(enumerate(lines)), "line int, rule string")
+    kind = F.lower(F.regexp_extract("rule", r"^\s*(If|Else|Predict)", 1))
+    index = F.nullif(F.regexp_extract("rule", r"feature (\d+)", 1), F.lit("")).cast("int")
+    names = F.array(*[F.lit(n) for n in feature_names]) if feature_names else None
+    number = r"([-+0-9.Ee]+)"
+    return printed.select(
+        "line", (F.length("rule") - F.length(F.ltrim("rule")) - 2).alias("depth"),
+        F.when(kind == "predict", "leaf").otherwise(kind).alias("kind"),
+        (F.get(names, index) if names is not None else F.concat(F.lit("feature "), index)).alias("feature"),
+        F.regexp_extract("rule", r"(?:<=|>) " + number, 1).try_cast("double").alias("threshold"),
+        F.regexp_extract("rule", "Predict: " + number, 1).try_cast("double").alias("prediction"))
 
 
 def feature_importance(spark, model, feature_names) -> DataFrame:

@@ -6,6 +6,7 @@ from terrasift.operators import charts as ops
 from terrasift.operators import models
 from terrasift.operators.features import assemble
 from terrasift.plans.catalog import query, table
+from terrasift.plans.catalog.models import MEASURES, TWO_LEVELS, two_level_tree
 
 
 @query("chart_histogram", """
@@ -109,19 +110,30 @@ def pred_vs_actual(spark, folder):
     return out.withColumn("predicted", F.round("predicted", 3))
 
 
-def _tree(spark, folder):
-    names = ["l_quantity", "l_discount", "l_tax"]
-    df = assemble(table(spark, folder, "lineitem"), names, "features").select("features", "l_extendedprice")
-    return models.fit(models.decision_tree("l_extendedprice", maxDepth=3), df), names
+SIDE_SQL = "SELECT CAST({line} AS INTEGER) AS line, CAST({depth} AS INTEGER) AS depth, {kind} AS kind, {rest}"
 
 
-@query("tree_rules")
+def _rule_lines():
+    """The printed order of a full two-level tree: 10 lines around 3 splits and 4 leaves."""
+    split = "f AS feature, round(cut, 6) AS threshold, CAST(NULL AS DOUBLE) AS prediction FROM picks WHERE node = {0}"
+    leaf = "CAST(NULL AS VARCHAR), CAST(NULL AS DOUBLE), round({1}, 6) FROM picks WHERE node = {0}"
+    plan = [(0, "'if'", split.format(1)), (1, "'if'", split.format(2)), (2, "'leaf'", leaf.format(2, "lo")),
+            (1, "'else'", split.format(2)), (2, "'leaf'", leaf.format(2, "hi")), (0, "'else'", split.format(1)),
+            (1, "'if'", split.format(3)), (2, "'leaf'", leaf.format(3, "lo")), (1, "'else'", split.format(3)),
+            (2, "'leaf'", leaf.format(3, "hi"))]
+    return " UNION ALL ".join(SIDE_SQL.format(line=i, depth=d, kind=k, rest=r) for i, (d, k, r) in enumerate(plan))
+
+
+@query("tree_rules", TWO_LEVELS + _rule_lines())
 def tree_rules(spark, folder):
-    model, names = _tree(spark, folder)
-    return ops.tree_rules(spark, model, names)
+    model, _ = two_level_tree(spark, folder)
+    out = ops.tree_rules(spark, model, MEASURES)
+    return out.withColumns({c: F.round(c, 6) for c in ("threshold", "prediction")})
 
 
-@query("feature_importance")
+@query("feature_importance", TWO_LEVELS + """
+SELECT n.f AS feature, round(coalesce(sum(gain), 0) / (SELECT sum(gain) FROM picks), 6) AS importance
+FROM (SELECT unnest(['l_quantity', 'l_discount', 'l_tax']) AS f) n LEFT JOIN picks USING (f) GROUP BY n.f""")
 def feature_importance(spark, folder):
-    model, names = _tree(spark, folder)
-    return ops.feature_importance(spark, model, names)
+    model, _ = two_level_tree(spark, folder)
+    return ops.feature_importance(spark, model, MEASURES).withColumn("importance", F.round("importance", 6))

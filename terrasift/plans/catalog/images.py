@@ -149,6 +149,25 @@ def image_features(spark, folder):
                                        F.count("*").alias("n"))
 
 
+@query("image_resized_features", PIXELS + """,
+taps AS (SELECT o, CAST(least(7, greatest(0, floor((o + 0.5) / 2 - 0.5) + t)) AS INTEGER) AS i,
+ CASE t WHEN 0 THEN 1 - ((o + 0.5) / 2 - 0.5 - floor((o + 0.5) / 2 - 0.5)) ELSE (o + 0.5) / 2 - 0.5 - floor((o + 0.5) / 2 - 0.5) END AS w
+ FROM (SELECT unnest(range(16))::DOUBLE AS o), (SELECT unnest([0, 1]) AS t)),
+big AS (SELECT vec_id, c, a.o AS y, b.o AS x, floor(sum(v * a.w * b.w) + 0.5) AS v FROM base JOIN taps a ON a.i = base.y
+ JOIN taps b ON b.i = base.x GROUP BY vec_id, c, a.o, b.o)
+SELECT vec_id, round(sum((v / 255.0::DOUBLE - 0.5) / 0.5), 2) AS total,
+ round(sum((v / 255.0::DOUBLE - 0.5) / 0.5 * ((2 - c) * 256 + y * 16 + x + 1)), 0) AS weighted, count(*) AS n FROM big GROUP BY vec_id""")
+def image_resized_features(spark, folder):
+    """Features at twice the pictures' size: bilinear resize, then scaling."""
+    options = ops.ImageOptions(steps=(), feature_size=2 * SIDE, keep_pixels=False)
+    out = ops.preprocess(pictures(spark, folder), options)
+    parts = out.select(F.col("path").cast("bigint").alias("vec_id"), F.posexplode("features").alias("i", "v"))
+    value = F.col("v").cast("double")
+    return parts.groupBy("vec_id").agg(F.round(F.sum(value), 2).alias("total"),
+                                       F.round(F.sum(value * (F.col("i") + 1)), 0).alias("weighted"),
+                                       F.count("*").alias("n"))
+
+
 @query("image_preprocess")
 def image_preprocess(spark, folder):
     """Every step, random resize and colour jitter included."""

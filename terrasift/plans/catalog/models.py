@@ -77,6 +77,49 @@ def gbt_two_rounds(spark, folder):
     return model.transform(df).select("l_orderkey", "l_linenumber", F.round("prediction", 6).alias("prediction"))
 
 
+BEST_SPLIT = """
+{name}_d AS (SELECT node, f, x, count(*) n, sum(y) s FROM {source} GROUP BY node, f, x),
+{name}_t AS (SELECT node, f, x, lead(x) OVER v nx, sum(n) OVER u ln, sum(s) OVER u ls, sum(n) OVER a tn, sum(s) OVER a ts FROM {name}_d
+ WINDOW v AS (PARTITION BY node, f ORDER BY x), u AS (PARTITION BY node, f ORDER BY x), a AS (PARTITION BY node, f)),
+{name} AS (SELECT * FROM (SELECT node, f, (x + nx) / 2 cut, ls / ln lo, (ts - ls) / (tn - ln) hi,
+ ls * ls / ln + (ts - ls) * (ts - ls) / (tn - ln) - ts * ts / tn gain FROM {name}_t WHERE nx IS NOT NULL)
+ QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC) = 1)"""
+
+TWO_LEVELS = f"""
+WITH items AS (SELECT row_number() OVER () id, l_orderkey, l_linenumber, l_quantity, l_discount, l_tax, l_extendedprice / 10000 y FROM lineitem),
+lf AS (SELECT 1 node, y, unnest(['l_quantity', 'l_discount', 'l_tax']) f, unnest([l_quantity, l_discount, l_tax]) x, id FROM items),
+{BEST_SPLIT.format(name='r', source='lf')},
+side AS (SELECT id, CASE WHEN lf.x <= r.cut THEN 2 ELSE 3 END node FROM lf JOIN r ON lf.f = r.f),
+lf2 AS (SELECT side.node, y, f, x, id FROM lf JOIN side USING (id)),
+{BEST_SPLIT.format(name='k', source='lf2')},
+picks AS (SELECT * FROM r UNION ALL SELECT * FROM k)
+"""
+
+TWO_LEVEL_SCORES = TWO_LEVELS + """
+SELECT l_orderkey, l_linenumber, round(CASE WHEN lf2.x <= k.cut THEN k.lo ELSE k.hi END, 6) AS prediction
+FROM lf2 JOIN k ON lf2.node = k.node AND lf2.f = k.f JOIN items USING (id)"""
+
+
+def two_level_tree(spark, folder):
+    """Depth 2 on three features with few values, where SQL finds the same splits."""
+    df = features.assemble(_items(spark, folder), MEASURES, "features")
+    return ops.fit(ops.decision_tree(LABEL, maxDepth=2, maxBins=64), df), df
+
+
+@query("dt_two_levels", TWO_LEVEL_SCORES)
+def dt_two_levels(spark, folder):
+    model, df = two_level_tree(spark, folder)
+    return model.transform(df).select("l_orderkey", "l_linenumber", F.round("prediction", 6).alias("prediction"))
+
+
+@query("rf_without_bootstrap", TWO_LEVEL_SCORES)
+def rf_without_bootstrap(spark, folder):
+    """Trees that see every row and feature agree, so their mean is the single tree."""
+    df = features.assemble(_items(spark, folder), MEASURES, "features")
+    forest = ops.random_forest(LABEL, numTrees=3, maxDepth=2, maxBins=64, bootstrap=False, featureSubsetStrategy="all")
+    return ops.fit(forest, df).transform(df).select("l_orderkey", "l_linenumber", F.round("prediction", 6).alias("prediction"))
+
+
 def _scored(spark, folder, estimator):
     df = features.assemble(_items(spark, folder), MEASURES, "features")
     train, test = splits.random_parts(df, KEYS)
@@ -164,6 +207,36 @@ def holdout_rmse(spark, folder):
     return ops.train_and_score_all(_orders(spark, folder), ORDERS, ["o_orderkey"], trees=20)[1]
 
 
+CALENDAR = DatasetSpec("orders", ["month", "weekday"], "o_totalprice")
+
+HELD_OUT = f"""
+WITH o AS (SELECT o_orderkey, o_totalprice y, month(o_orderdate)::DOUBLE AS m, (dayofweek(o_orderdate) + 1)::DOUBLE AS w,
+ row_number() OVER (ORDER BY md5('42|' || o_orderkey)) <= count(*) OVER () - greatest(1, ceil(0.2::DOUBLE * count(*) OVER ())) AS train FROM orders),
+lf AS (SELECT 1 node, y, unnest(['month', 'weekday']) f, unnest([m, w]) x FROM o WHERE train),
+{BEST_SPLIT.format(name='r', source='lf')},
+p AS (SELECT o_orderkey, o.y, train, CASE WHEN (CASE f WHEN 'month' THEN m ELSE w END) <= cut THEN lo ELSE hi END AS p FROM o, r)
+"""
+
+
+def _calendar(spark, folder):
+    orders = table(spark, folder, "orders").select(
+        "o_orderkey", F.month("o_orderdate").alias("month"), F.dayofweek("o_orderdate").alias("weekday"), "o_totalprice")
+    return ops.train_and_score_all(orders, CALENDAR, ["o_orderkey"], trees=2, maxDepth=1, bootstrap=False,
+                                   featureSubsetStrategy="all")
+
+
+@query("train_and_score_checked", HELD_OUT + """
+SELECT o_orderkey, CASE WHEN train THEN 'train' ELSE 'test' END AS split, round(p, 4) AS prediction FROM p""")
+def train_and_score_checked(spark, folder):
+    """The same job with trees simple enough for SQL: hold-out, fit on the rest, score every row."""
+    return _calendar(spark, folder)[0].select("o_orderkey", "split", F.round("prediction", 4).alias("prediction"))
+
+
+@query("holdout_rmse_checked", HELD_OUT + "SELECT round(sqrt(avg((y - p) * (y - p))), 4) AS rmse FROM p WHERE NOT train")
+def holdout_rmse_checked(spark, folder):
+    return _calendar(spark, folder)[1].select(F.round("rmse", 4).alias("rmse"))
+
+
 @query("model_roundtrip", """
 SELECT l_orderkey, l_linenumber, round(a + b * l_quantity, 5) AS prediction FROM lineitem,
  (SELECT regr_slope(l_extendedprice / 10000, l_quantity) b, regr_intercept(l_extendedprice / 10000, l_quantity) a FROM lineitem)""")

@@ -75,8 +75,11 @@ def test_save_load(noisy, spark, tmp_path):
 
 def test_tree_reports(noisy, spark):
     tree = models.fit(models.decision_tree("y", maxDepth=2), noisy)
-    rules = [r["rule"] for r in charts.tree_rules(spark, tree, ["a", "b"]).orderBy("line").collect()]
-    assert any("If (a <=" in r for r in rules) and not any("feature 0" in r for r in rules)
+    rules = charts.tree_rules(spark, tree, ["a", "b"]).orderBy("line").collect()
+    assert (rules[0]["kind"], rules[0]["depth"], rules[0]["feature"]) == ("if", 0, "a")
+    leaves = [r["prediction"] for r in rules if r["kind"] == "leaf"]
+    assert len(leaves) == 4 and all(v is not None for v in leaves)
+    assert sum(r["kind"] == "if" for r in rules) == sum(r["kind"] == "else" for r in rules) == 3
     weights = {r["feature"]: r["importance"] for r in charts.feature_importance(spark, tree, ["a", "b"]).collect()}
     assert weights["a"] > weights["b"] and math.isclose(sum(weights.values()), 1)
     scored = tree.transform(noisy)
