@@ -6,6 +6,7 @@ import logging
 import math
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.ml import Pipeline, PipelineModel
@@ -159,7 +160,7 @@ def leaderboard(train: DataFrame, test: DataFrame, models: dict, label: str, key
                           else estimator.fit(train))
                 report = metrics.regression_report(fitted.transform(test), label).first()
                 rows.append((name, report["rmse"], report["accuracy"], "ok"))
-            except (PySparkException, ValueError) as err:
+            except (PySparkException, Py4JJavaError, ValueError) as err:
                 log.exception("model %s failed", name)
                 rows.append((name, math.inf, 0.0, f"failed: {type(err).__name__}"))
     return spark.createDataFrame(rows, "model string, rmse double, accuracy double, status string")

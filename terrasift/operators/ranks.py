@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from terrasift.session import stage_table
 
 ROWS_PER_BUCKET = 1_000_000
+MAX_BUCKETS = 10_000  # boundaries kept on the driver; beyond it ranges get longer
 
 
 def hash_thresholds(hashed: DataFrame, strata, cuts, digits=4) -> DataFrame:
@@ -67,7 +68,7 @@ def running_totals(df: DataFrame, order_col: str, sums, groups=(), ascending=Tru
     so the result is exact whatever the quantiles were.
     """
     table = stage_table(df, "ordered") if stage else df
-    buckets = -(-table.count() // rows_per_bucket)
+    buckets = min(MAX_BUCKETS, -(-table.count() // rows_per_bucket))
     direction = (lambda c: F.col(c).asc()) if ascending else (lambda c: F.col(c).desc())
     if buckets <= 1:
         whole = Window.partitionBy(*groups)

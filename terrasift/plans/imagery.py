@@ -18,6 +18,7 @@ def preprocess_folder(spark: SparkSession, source: str, target: str, options=pix
     large folder that grows, :func:`terrasift.streaming.incremental.preprocess_new_images`
     reads new files only.
     """
+    images.warn_if_empty(images.scan_files(spark, source), source)
     todo = images.scan_images(spark, source)
     if done is not None:
         todo = sinks.pending(todo, done, "path")

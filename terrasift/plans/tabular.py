@@ -22,7 +22,7 @@ def build_features(df: DataFrame, spec: DatasetSpec, target: str | None = None,
     Stops with an error when columns are missing or nothing is left after
     cleaning, before anything is written.
     """
-    columns = headers.resolve_columns(spec.features, _raw_like(df, spec))
+    columns = headers.resolve_columns(spec.features, df.columns)
     quality.require_columns(df, columns)
     clean = quality.drop_missing(quality.cast_columns(df, columns), columns)
     quality.require_rows(clean, 1, spec.name)
@@ -33,23 +33,13 @@ def build_features(df: DataFrame, spec: DatasetSpec, target: str | None = None,
     return table
 
 
-def _raw_like(df, spec):
-    """Raw header implied by a table: ``mb8`` at position 8 was read from ``mb``."""
-    wanted = {c for c in spec.features}
-    raw = []
-    for i, name in enumerate(df.columns):
-        bare = name[:-len(str(i))] if name.endswith(str(i)) else name
-        raw.append(bare if bare in wanted and name not in wanted else name)
-    return raw
-
-
 def compare_models(df: DataFrame, spec: DatasetSpec, key_cols, candidates=None, seed=splits.SPLIT_SEED) -> DataFrame:
     """Leaderboard of the four regressors on one dataset.
 
     Features are fitted on the training rows only, so nothing of the test rows
     (nor the label) reaches the model.
     """
-    columns = headers.resolve_columns(spec.features, _raw_like(df, spec))
+    columns = headers.resolve_columns(spec.features, df.columns)
     needed = [*columns, spec.label]
     quality.require_columns(df, needed)
     ready = quality.drop_missing(quality.cast_columns(df, needed), needed)
@@ -69,7 +59,7 @@ def train_dataset(spark: SparkSession, name: str, path: str, key_cols, target: s
     """
     spec = dataset(name)
     df = headers.clean_headers(sniff.read_delimited(spark, path))
-    columns = headers.resolve_columns(spec.features, _raw_like(df, spec))
+    columns = headers.resolve_columns(spec.features, df.columns)
     actual = DatasetSpec(spec.name, columns, spec.label, spec.pca_k, spec.folds)
     scored, rmse = models.train_and_score_all(df, actual, key_cols, **params)
     if target:

@@ -28,7 +28,17 @@ def apply_safe_names(df):
     return df.toDF(*safe_names(df.columns))
 
 
-def resolve_columns(wanted, raw) -> list:
-    """Map configured raw names (``mb``) to those of a table read from ``raw``."""
-    lookup = dict(zip(raw, safe_names(raw)))
-    return [lookup.get(name, name) for name in wanted]
+def resolve_columns(wanted, actual) -> list:
+    """Configured names as a table read from CSV has them.
+
+    A name that is absent but present with its position appended (``mb`` as
+    ``mb8`` in column 8) is one the reader told apart; others stay as they are,
+    so that a later check can name them.
+    """
+    numbered = {name: i for i, name in enumerate(actual)}
+
+    def resolve(name):
+        if name in numbered:
+            return name
+        return next((c for c, i in numbered.items() if c == f"{name}{i}"), name)
+    return [resolve(name) for name in wanted]

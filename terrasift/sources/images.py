@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from terrasift.functions import labels
 from terrasift.registry import IMAGE_CLASSES, IMAGE_EXTENSIONS
 from terrasift.sources.tables import _naming_missing_path
 
+log = logging.getLogger(__name__)
+
 
 def _glob(extensions) -> str:
     return "*.{" + ",".join(extensions) + "}"
@@ -47,3 +51,11 @@ def flatten_image(df: DataFrame) -> DataFrame:
     return df.select(F.col("image.origin").alias("path"), F.col("image.height").alias("height"),
                      F.col("image.width").alias("width"), F.col("image.nChannels").alias("channels"),
                      F.col("image.mode").alias("mode"), F.col("image.data").alias("data"))
+
+
+def warn_if_empty(files: DataFrame, path: str, extensions=IMAGE_EXTENSIONS) -> bool:
+    """Log a warning when a folder holds no file of the listed kinds."""
+    empty = files.select("path").isEmpty()
+    if empty:
+        log.warning("no images (%s) in %s", ", ".join(extensions), path)
+    return empty

@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 from concurrent.futures import ThreadPoolExecutor
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,7 +48,7 @@ def ingest_all(spark: SparkSession, loaders: dict, accounting) -> DataFrame:
         try:
             row = accounting(loaders[name]()).first()
             return (name, row["rows_before"], row["rows_after"], row["rows_dropped"], "ok")
-        except (PySparkException, OSError, ValueError) as err:
+        except (PySparkException, Py4JJavaError, OSError, ValueError) as err:
             log.error("dataset %s skipped: %s", name, err)
             return (name, None, None, None, "failed")
 

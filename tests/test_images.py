@@ -28,6 +28,8 @@ def test_class_and_extension_scan(spark, image_tree):
     got = sorted((r["path"].split("/")[-1], r["label"], r["label_id"]) for r in files.collect())
     assert got == [("a.png", "Cyclone", 0), ("b.png", "Flood", 2), ("bad.jpg", "Flood", 2), ("c.png", "Flood", 2)]
     assert images.scan_files(spark, image_tree, ["gif"]).count() == 0
+    assert images.warn_if_empty(images.scan_files(spark, image_tree, ["gif"]), image_tree, ["gif"])
+    assert not images.warn_if_empty(files, image_tree)
     assert images.scan_files(spark, image_tree, recursive=False).count() == 0
     with pytest.raises(FileNotFoundError):
         images.scan_files(spark, image_tree + "/absent")

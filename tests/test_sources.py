@@ -73,7 +73,8 @@ def test_header_rules(spark, tmp_path):
     assert safe[8:10] == ["mb8", "mB9"]
     path = _file(tmp_path, "h.csv", ",".join(raw) + "\n" + ",".join(["1"] * 11) + "\n")
     assert tables.read_csv(spark, path).columns == safe
-    assert headers.resolve_columns(["mb", "Ms7"], raw) == ["mb8", "Ms7"]
+    assert headers.resolve_columns(["mb", "Ms7", "absent"], safe) == ["mb8", "Ms7", "absent"]
+    assert headers.resolve_columns(["mb"], ["mB", "mb"]) == ["mb"]
 
 
 def test_sinks(spark, tmp_path):
