@@ -74,8 +74,14 @@ def batch_mean_loss(df: DataFrame, label_id: str, probabilities: str, batch: str
     return per_batch.agg(F.avg("loss").alias("mean_loss"))
 
 
-def misclassified(df: DataFrame, true: str, predicted: str, path: str | None = None) -> DataFrame:
-    """Wrongly predicted rows; with ``path`` each path appears once (smallest row)."""
+def misclassified(df: DataFrame, true: str, predicted: str, path: str | None = None,
+                  epoch: str | None = None) -> DataFrame:
+    """Wrongly predicted rows; with ``path`` each path appears once (smallest row).
+
+    With ``epoch`` only the last one counts, otherwise all are taken together.
+    """
+    if epoch:
+        df = df.filter(quoted(epoch) == df.agg(F.max(quoted(epoch))).scalar())
     wrong = df.filter(quoted(true) != quoted(predicted))
     if path is None:
         return wrong

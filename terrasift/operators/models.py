@@ -141,7 +141,8 @@ def parameter_report(spark: SparkSession, model, name=None) -> DataFrame:
 
 def fit_features(train: DataFrame, columns, pca_k=None, **options) -> PipelineModel:
     """Feature pipeline fitted on training rows only."""
-    return Pipeline(stages=feature_stages(columns, pca_k, **options)).fit(train)
+    with training_rows(train, columns) as rows:
+        return Pipeline(stages=feature_stages(columns, pca_k, **options)).fit(rows)
 
 
 def leaderboard(train: DataFrame, test: DataFrame, models: dict, label: str, key_cols, folds=3) -> DataFrame:

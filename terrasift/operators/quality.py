@@ -22,31 +22,39 @@ def _long(one_row: DataFrame, entries) -> DataFrame:
     return one_row.select(F.inline(F.array(*[F.struct(*e) for e in entries])))
 
 
-def summary(df: DataFrame, columns=None) -> DataFrame:
-    """count, mean, stddev, min and max per numeric or text column, in one scan.
-
-    Text columns have ``min_text``/``max_text`` instead of numeric statistics.
-    """
+def _summary_of(df, fields, numeric):
+    no_number, no_text = F.lit(None).cast("double"), F.lit(None).cast("string")
     aggs, entries = [], []
-    for i, field in enumerate(f for f in df.schema.fields if columns is None or f.name in columns):
-        numeric = isinstance(field.dataType, T.NumericType)
-        if not numeric and not isinstance(field.dataType, T.StringType):
-            continue
+    for i, field in enumerate(fields):
         value = quoted(field.name)
         aggs += [F.count(value).alias(f"n{i}"), F.min(value).alias(f"lo{i}"), F.max(value).alias(f"hi{i}")]
         if numeric:
             aggs += [F.avg(value).alias(f"mu{i}"), F.stddev(value).alias(f"sd{i}")]
-        number = lambda name: F.col(name).cast("double") if numeric else F.lit(None).cast("double")
-        text = lambda name: F.lit(None).cast("string") if numeric else F.col(name)
-        entries.append([
-            F.lit(field.name).alias("column"), F.col(f"n{i}").alias("count"),
-            number(f"mu{i}").alias("mean"), number(f"sd{i}").alias("stddev"),
-            number(f"lo{i}").alias("min"), number(f"hi{i}").alias("max"),
-            text(f"lo{i}").alias("min_text"), text(f"hi{i}").alias("max_text"),
-        ])
+            stats = [F.col(f"{s}{i}").cast("double") for s in ("mu", "sd", "lo", "hi")] + [no_text, no_text]
+        else:
+            stats = [no_number] * 4 + [F.col(f"lo{i}"), F.col(f"hi{i}")]
+        labels = ("mean", "stddev", "min", "max", "min_text", "max_text")
+        entries.append([F.lit(field.name).alias("column"), F.col(f"n{i}").alias("count"),
+                        *[s.alias(label) for s, label in zip(stats, labels)]])
     return _long(df.agg(*aggs), entries)
 
 
+def summary(df: DataFrame, columns=None) -> DataFrame:
+    """count, mean, stddev, min and max per numeric or text column.
+
+    Text columns have ``min_text``/``max_text`` instead of numeric statistics.
+    Numbers and text are separate aggregates: each reads only its own columns,
+    and text extremes would push the numbers out of hash aggregation.
+    """
+    fields = [f for f in df.schema.fields if columns is None or f.name in columns]
+    numbers = [f for f in fields if isinstance(f.dataType, T.NumericType)]
+    texts = [f for f in fields if isinstance(f.dataType, T.StringType)]
+    parts = [_summary_of(df, part, numeric) for part, numeric in ((numbers, True), (texts, False)) if part]
+    if not parts:
+        raise ValueError("no numeric or text columns to summarise")
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
 def missing_profile(df: DataFrame, columns=None) -> DataFrame:
     """Per column: nulls, and missing values (null or NaN), in one scan."""
     fields = [f for f in df.schema.fields if columns is None or f.name in columns]

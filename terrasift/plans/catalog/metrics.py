@@ -93,6 +93,16 @@ def misclassified_once(spark, folder):
     return ops.misclassified(rows, "t", "p", "path")
 
 
+@query("misclassified_last_epoch", """
+SELECT event_id, event_type AS t, 'view' AS p, month(ts) AS epoch FROM events
+WHERE value > 20 AND event_type <> 'view' AND month(ts) = (SELECT max(month(ts)) FROM events)""")
+def misclassified_last_epoch(spark, folder):
+    rows = table(spark, folder, "events").select(
+        "event_id", F.col("event_type").alias("t"), F.when(F.col("value") > 20, "view").otherwise(F.col("event_type")).alias("p"),
+        F.month("ts").cast("bigint").alias("epoch"))
+    return ops.misclassified(rows, "t", "p", epoch="epoch")
+
+
 GRID = f"""
 WITH r AS (SELECT t, p FROM {RULE_SQL}),
 l AS (SELECT t AS label FROM r UNION SELECT p FROM r UNION SELECT '{ABSENT}' UNION SELECT unnest({EVENT_TYPES})),

@@ -8,6 +8,7 @@ from terrasift.plans.catalog import query, table
 from terrasift.session import scratch_path
 from terrasift.sources import headers, images, sinks, sniff
 from terrasift.sources import tables as io
+from terrasift.streaming import incremental
 
 
 @query("csv_roundtrip", "SELECT * FROM part")
@@ -199,3 +200,16 @@ def label_prediction_file(spark, folder):
     scored = table(spark, folder, "orders").select("o_totalprice", (F.col("o_totalprice") * 2).alias("prediction"))
     sinks.write_label_predictions(scored, target, "o_totalprice")
     return io.read_csv(spark, target, f"o_totalprice double, `{sinks.PRED}` double")
+
+
+@query("stream_clean_tables", """
+SELECT CAST(p_partkey AS DOUBLE) AS p_partkey, CAST(p_size AS DOUBLE) AS p_size, p_name FROM part WHERE p_size <> 11""")
+def stream_clean_tables(spark, folder):
+    """CSV files cleaned by two incremental runs; the second finds nothing new."""
+    root = scratch_path(spark, "stream")
+    part = table(spark, folder, "part").select("p_partkey", F.when(F.col("p_size") != 11, F.col("p_size")).alias("p_size"), "p_name")
+    sinks.write_csv(part, f"{root}/in")
+    for _ in range(2):
+        incremental.clean_new_tables(spark, f"{root}/in", f"{root}/out", f"{root}/checkpoint",
+                                     "p_partkey string, p_size string, p_name string", ["p_partkey", "p_size"])
+    return spark.read.parquet(f"{root}/out")

@@ -100,9 +100,15 @@ def quarantine(wrong: DataFrame, path_col="path", existing: DataFrame | None = N
     return once
 
 
-def write_partitioned(df: DataFrame, path: str, *by: str) -> None:
-    """Parquet, one directory per value; each task writes its own files."""
-    df.write.mode("overwrite").partitionBy(*by).parquet(path)
+def write_partitioned(df: DataFrame, path: str, *by: str, rebalance=True) -> None:
+    """Parquet, one directory per value.
+
+    Rows of one directory are brought together first, so that it gets a few
+    files of the advised size and not one per task; adaptive execution splits
+    the share of a value that holds much of the data over several tasks.
+    """
+    rows = df.hint("rebalance", *by) if rebalance else df
+    rows.write.mode("overwrite").partitionBy(*by).parquet(path)
 
 
 def pending(inputs: DataFrame, done: DataFrame, key: str) -> DataFrame:
