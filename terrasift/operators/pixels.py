@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import hashlib
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -62,30 +63,39 @@ def rounded(values: np.ndarray) -> np.ndarray:
     return to_bytes(np.floor(values + 0.5))
 
 
-def resize_weights(size_in: int, size_out: int, antialias: bool) -> np.ndarray:
-    """Triangle-filter weights (out × in) with half-pixel centres and clamped edges."""
+def bilinear_taps(size_in: int, size_out: int):
+    """Two source positions per target and the share of the second; half-pixel
+    centres, edges clamped."""
+    centres = (np.arange(size_out) + 0.5) * (size_in / size_out) - 0.5
+    low = np.floor(centres).astype(int)
+    return np.clip(low, 0, size_in - 1), np.clip(low + 1, 0, size_in - 1), (centres - low).astype(np.float32)
+
+
+def triangle_weights(size_in: int, size_out: int) -> np.ndarray:
+    """Antialiasing weights (out × in): a triangle as wide as the shrinking factor."""
     scale = size_in / size_out
-    support = max(scale, 1.0) if antialias else 1.0
     centres = (np.arange(size_out) + 0.5) * scale - 0.5
-    if antialias:
-        weights = np.maximum(0.0, 1.0 - np.abs(np.arange(size_in)[None, :] - centres[:, None]) / support)
-        return weights / weights.sum(axis=1, keepdims=True)
-    low = np.floor(centres).astype(int)
-    share = centres - low
-    weights = np.zeros((size_out, size_in))
-    rows = np.arange(size_out)
-    np.add.at(weights, (rows, np.clip(low, 0, size_in - 1)), 1 - share)
-    np.add.at(weights, (rows, np.clip(low + 1, 0, size_in - 1)), share)
-    return weights
+    distance = np.abs(np.arange(size_in)[None, :] - centres[:, None])
+    weights = np.maximum(0.0, 1.0 - distance / max(scale, 1.0))
+    return (weights / weights.sum(axis=1, keepdims=True)).astype(np.float32)
+
+
+def _stretch(images, axis, size, antialias):
+    size_in = images.shape[axis]
+    if size_in == size:
+        return images
+    if antialias and size < size_in:
+        return np.moveaxis(np.moveaxis(images, axis, -1) @ triangle_weights(size_in, size).T, -1, axis)
+    low, high, share = bilinear_taps(size_in, size)
+    share = share.reshape([-1 if i == axis % images.ndim else 1 for i in range(images.ndim)])
+    first = np.take(images, low, axis=axis)
+    return first + (np.take(images, high, axis=axis) - first) * share
 
 
 def resize(images: np.ndarray, height: int, width: int, antialias=False) -> np.ndarray:
     if images.shape[-3:-1] == (height, width):
         return images
-    down = resize_weights(images.shape[-3], height, antialias)
-    across = resize_weights(images.shape[-2], width, antialias)
-    tall = np.einsum("oh,...hwc->...owc", down, images.astype(float), optimize=True)
-    return rounded(np.einsum("ow,...hwc->...hoc", across, tall, optimize=True))
+    return rounded(_stretch(_stretch(images.astype(np.float32), -3, height, antialias), -2, width, antialias))
 
 
 def subtract_means(images: np.ndarray, bgr_means) -> np.ndarray:
@@ -101,67 +111,72 @@ def jitter(image: np.ndarray, alpha: np.ndarray) -> np.ndarray:
 
 def equalize_luma(images: np.ndarray, weights_bgr) -> np.ndarray:
     """Spread the luma histogram of each image over 0..255, colour differences kept."""
-    stack = images.astype(int)
-    luma = (stack @ np.asarray(weights_bgr) + 500) // 1000
+    stack = images.astype(np.int32)
+    luma = (sum(w * stack[..., c] for c, w in enumerate(weights_bgr)) + 500) // 1000
     flat = luma.reshape(len(stack), -1)
     counts = np.stack([np.bincount(row, minlength=256) for row in flat])
     first = (counts > 0).argmax(axis=1)
     lowest = counts[np.arange(len(stack)), first]
     remaining = flat.shape[1] - lowest
     table = np.floor((counts.cumsum(axis=1) - lowest[:, None]) * 255.0 / np.maximum(remaining, 1)[:, None] + 0.5)
-    table = np.where(remaining[:, None] > 0, np.clip(table, 0, 255), np.arange(256)[None, :])
+    table = np.where(remaining[:, None] > 0, np.clip(table, 0, 255), np.arange(256)[None, :]).astype(np.int32)
     spread = np.take_along_axis(table, flat, axis=1).reshape(luma.shape)
-    return rounded(stack + (spread - luma)[..., None])
+    return to_bytes(stack + (spread - luma)[..., None])
+
+
+def _shifted(images, axis, **padding):
+    """The image moved by -2..2 along one axis."""
+    reach = OPENING_SIZE // 2
+    pad = [(0, 0)] * images.ndim
+    pad[axis] = (reach, reach)
+    size = images.shape[axis]
+    if padding.get("mode") == "reflect" and size <= reach:
+        padding = {"mode": "symmetric"}
+    wide = np.pad(images, pad, **padding)
+    before = (slice(None),) * (axis % images.ndim)
+    return [wide[(*before, slice(k, k + size))] for k in range(2 * reach + 1)]
 
 
 def blur(images: np.ndarray) -> np.ndarray:
-    """5×5 Gaussian, borders mirrored without repeating the edge pixel."""
-    weights = np.asarray(BLUR_WEIGHTS, float) / sum(BLUR_WEIGHTS)
-    out = images.astype(float)
+    """5×5 Gaussian, borders mirrored without repeating the edge pixel.
+
+    The weights add up to 16 per axis, so 16-bit integers hold every sum.
+    """
+    out = images.astype(np.uint16)
     for axis in (-3, -2):
-        out = _slide(out, axis, "reflect", None, lambda parts: np.tensordot(weights, parts, axes=(0, 0)))
-    return rounded(out)
+        out = reduce(np.add, [part * np.uint16(w) for part, w in zip(_shifted(out, axis, mode="reflect"), BLUR_WEIGHTS)])
+    return ((out + 128) >> 8).astype(np.uint8)
 
 
 def opening(images: np.ndarray) -> np.ndarray:
     """Erosion then dilation with a square; pixels outside the image never win."""
     out = images
-    for fill, pick in ((255, np.min), (0, np.max)):
+    for fill, pick in ((255, np.minimum), (0, np.maximum)):
         for axis in (-3, -2):
-            out = _slide(out, axis, "constant", fill, lambda parts, pick=pick: pick(parts, axis=0))
+            out = reduce(pick, _shifted(out, axis, mode="constant", constant_values=fill))
     return out
 
 
-def _slide(images, axis, mode, fill, combine):
-    reach = OPENING_SIZE // 2
-    pad = [(0, 0)] * images.ndim
-    pad[axis] = (reach, reach)
-    if mode == "reflect" and images.shape[axis] <= reach:
-        mode = "symmetric"
-    wide = np.pad(images, pad, mode=mode, **({} if fill is None else {"constant_values": fill}))
-    size = images.shape[axis]
-    return combine(np.stack([np.take(wide, range(k, k + size), axis=axis) for k in range(2 * reach + 1)]))
-
-
 def haar(images: np.ndarray, mode="edges") -> np.ndarray:
     """One Haar level per channel. Its approximation band is the mean of each
     2×2 block, so removing it leaves the pixel minus the block mean, and
     removing the details leaves the block mean."""
     height, width = images.shape[-3:-1]
     pad = [(0, 0)] * (images.ndim - 3) + [(0, height % 2), (0, width % 2), (0, 0)]
-    full = np.pad(images.astype(float), pad, mode="edge")
-    h, w = full.shape[-3:-1]
-    blocks = full.reshape(*full.shape[:-3], h // 2, 2, w // 2, 2, full.shape[-1])
-    mean = np.broadcast_to(blocks.mean(axis=(-4, -2), keepdims=True), blocks.shape)
-    out = mean if mode == "smooth" else blocks - mean
-    return to_bytes(out.reshape(full.shape))[..., :height, :width, :]
+    full = np.pad(images.astype(np.int16), pad, mode="edge")
+    corners = [(slice(i, None, 2), slice(j, None, 2), slice(None)) for i in (0, 1) for j in (0, 1)]
+    total = sum(full[(..., *corner)] for corner in corners)
+    for corner in corners:
+        view = full[(..., *corner)]
+        full[(..., *corner)] = total >> 2 if mode == "smooth" else np.maximum(4 * view - total, 0) >> 2
+    return full[..., :height, :width, :].astype(np.uint8)
 
 
 def feature_values(images: np.ndarray, size: int) -> np.ndarray:
     """RGB planes at ``size``², scaled to [-1, 1]: (n, 3·size·size)."""
     small = resize(images, size, size, antialias=True)[..., ::-1]
-    scaled = (small / 255.0 - FEATURE_MEAN) / FEATURE_STD
-    return np.moveaxis(scaled, -1, -3).reshape(*images.shape[:-3], -1).astype(np.float32)
+    scaled = ((small / 255.0 - FEATURE_MEAN) / FEATURE_STD).astype(np.float32)
+    return np.moveaxis(scaled, -1, -3).reshape(*images.shape[:-3], -1)
 
 
 def generator(path: str, seed: int) -> np.random.Generator:

@@ -95,10 +95,14 @@ def test_split_and_report(spark, tmp_path):
 
 def test_resize_weights():
     for size_in, size_out in ((8, 16), (16, 8), (7, 7), (5, 13)):
-        for antialias in (False, True):
-            w = pixels.resize_weights(size_in, size_out, antialias)
-            assert w.shape == (size_out, size_in) and np.allclose(w.sum(axis=1), 1)
-    assert np.allclose(pixels.resize_weights(4, 2, True)[0], [3 / 7, 3 / 7, 1 / 7, 0])
+        assert np.allclose(pixels.triangle_weights(size_in, size_out).sum(axis=1), 1)
+        low, high, share = pixels.bilinear_taps(size_in, size_out)
+        assert low.min() >= 0 and high.max() < size_in and (0 <= share).all() and (share < 1).all()
+    assert np.allclose(pixels.triangle_weights(4, 2)[0], [3 / 7, 3 / 7, 1 / 7, 0])
+    noise = np.random.default_rng(0).integers(0, 256, (2, 9, 6, 3), dtype=np.uint8)
+    assert pixels.resize(noise, 9, 6) is noise
+    small = pixels.resize(noise, 3, 2, antialias=True)
+    assert small.shape == (2, 3, 2, 3) and abs(small.mean() - noise.mean()) < 12
     ramp = np.arange(4, dtype=float).reshape(1, 1, 4, 1).repeat(3, axis=3).repeat(4, axis=1) * 40
     assert pixels.resize(ramp.astype(np.uint8), 4, 8)[0, 0, :, 0].tolist() == [0, 10, 30, 50, 70, 90, 110, 120]
 
