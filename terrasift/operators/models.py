@@ -167,15 +167,16 @@ def leaderboard(train: DataFrame, test: DataFrame, models: dict, label: str, key
     return spark.createDataFrame(rows, "model string, rmse double, accuracy double, status string")
 
 
-def train_and_score_all(df: DataFrame, spec: DatasetSpec, key_cols, trees=APP_TREES, **params) -> tuple:
+def train_and_score_all(df: DataFrame, spec: DatasetSpec, key_cols=None, trees=APP_TREES, **params) -> tuple:
     """Random forest on raw features: predictions for every complete row, hold-out RMSE.
 
-    Returns ``(predictions, rmse)``, both DataFrames.
+    Without ``key_cols`` a row is its own key, so equal rows stay on one side of
+    the hold-out. Returns ``(predictions, rmse)``, both DataFrames.
     """
     require_columns(df, spec.required)
     ready = drop_missing(cast_columns(df, spec.required), spec.required)
     require_rows(ready, 2, spec.name)
-    marked = splits.holdout_split(ready, key_cols)
+    marked = splits.holdout_split(ready, key_cols or ready.columns)
     stages = feature_stages(spec.features, scale=False, normalize=False)
     with training_rows(marked.filter(F.col("split") == "train"), spec.required) as train:
         model = Pipeline(stages=[*stages, random_forest(spec.label, numTrees=trees, **params)]).fit(train)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -38,9 +41,8 @@ def hash_thresholds(hashed: DataFrame, strata, cuts, digits=4) -> DataFrame:
     # At most one row per stratum and cut; staged so that its size is known and
     # the join below is a broadcast exactly when it is small.
     edges = stage_table(edges, "cut-buckets")
-    same = _same(bucketed, edges, [*strata, "b"])
-    near = (bucketed.join(edges, same)
-            .groupBy(*[edges[c] for c in strata], "i", "rank", "before", "h").agg(F.count("*").alias("n")))
+    near = (bucketed.alias("l").join(edges.alias("r"), _matching([*strata, "b"]))
+            .groupBy(*[F.col(f"r.{c}") for c in strata], "i", "rank", "before", "h").agg(F.count("*").alias("n")))
     in_bucket = Window.partitionBy(*strata, "i").orderBy("h")
     starts = near.select(*strata, "i", "rank", "h",
                          (F.col("before") + F.sum("n").over(in_bucket) - F.col("n")).alias("start"))
@@ -50,11 +52,9 @@ def hash_thresholds(hashed: DataFrame, strata, cuts, digits=4) -> DataFrame:
         *[F.max(F.when(F.col("i") == i, F.col("h"))).alias(f"t{i}") for i in range(n_cuts)])
 
 
-def _same(left, right, columns):
-    condition = F.lit(True)
-    for c in columns:
-        condition = condition & left[c].eqNullSafe(right[c])
-    return condition
+def _matching(columns, left="l", right="r"):
+    """Equality of the columns in two aliased tables; nulls match nulls."""
+    return reduce(and_, [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in columns])
 
 
 def running_totals(df: DataFrame, order_col: str, sums, groups=(), ascending=True,
@@ -89,18 +89,11 @@ def running_totals(df: DataFrame, order_col: str, sums, groups=(), ascending=Tru
         *[F.sum(f"_t_{s}").over(Window.partitionBy(*groups)).alias(f"all_{s}") for s in sums])
     inside = Window.partitionBy(*keys).orderBy(direction(order_col)).rowsBetween(Window.unboundedPreceding, 0)
     local = ranged.select("*", *[F.sum(s).over(inside).alias(f"_in_{s}") for s in sums])
-    joined = local.alias("l").join(offsets.alias("o"), _same_alias(keys))
+    joined = local.alias("l").join(offsets.alias("r"), _matching(keys))
     return joined.select(
         *[F.col(f"l.{c}") for c in table.columns],
-        *[(F.col(f"l._in_{s}") + F.col(f"o._off_{s}")).alias(f"cum_{s}") for s in sums],
-        *[F.col(f"o.all_{s}") for s in sums])
-
-
-def _same_alias(columns):
-    condition = F.lit(True)
-    for c in columns:
-        condition = condition & F.col(f"l.{c}").eqNullSafe(F.col(f"o.{c}"))
-    return condition
+        *[(F.col(f"l._in_{s}") + F.col(f"r._off_{s}")).alias(f"cum_{s}") for s in sums],
+        *[F.col(f"r.all_{s}") for s in sums])
 
 
 def exact_quantiles(df: DataFrame, value_col: str, probs, groups=(), rows_per_bucket=ROWS_PER_BUCKET) -> DataFrame:

@@ -7,6 +7,7 @@ shifted by a half and scaled to 0..255.
 from pyspark.sql import functions as F
 
 from terrasift.operators import pixels as ops
+from terrasift.plans import imagery
 from terrasift.plans.catalog import query, table
 from terrasift.session import scratch_path, spread
 from terrasift.sources import images, sinks
@@ -175,3 +176,11 @@ def image_preprocess(spark, folder):
     out = ops.preprocess(pictures(spark, folder), options)
     return out.select(F.col("path").cast("bigint").alias("vec_id"), "label", "height", "width", "channels",
                       F.octet_length("data").alias("bytes"), F.size("features").alias("n_features"), "status")
+
+
+@query("image_classifier")
+def image_classifier(spark, folder):
+    """Pictures to features, split, training and scored test rows in one job."""
+    labelled = pictures(spark, folder).withColumnRenamed("label", "label_id")
+    options = ops.ImageOptions(steps=("equalize",), feature_size=SIDE)
+    return imagery.train_classifier(labelled, options)[1]

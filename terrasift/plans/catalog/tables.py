@@ -26,12 +26,14 @@ def csv_inferred_types(spark, folder):
     return io.read_csv(spark, target).select(F.col("c_custkey").cast("bigint"), "c_name", "c_acctbal")
 
 
-@query("csv_single_file", "SELECT * FROM nation")
+@query("csv_single_file", """
+SELECT c_nationkey, c_mktsegment, count(*) AS customers FROM customer GROUP BY ALL""")
 def csv_single_file(spark, folder):
-    nation = table(spark, folder, "nation")
-    target = scratch_path(spark, "nation-csv")
-    sinks.write_single_csv(nation, target)
-    return io.read_csv(spark, target, nation.schema, name="nation")
+    """A small report over a large table, written as one file."""
+    counts = table(spark, folder, "customer").groupBy("c_nationkey", "c_mktsegment").agg(F.count("*").alias("customers"))
+    target = scratch_path(spark, "report-csv")
+    sinks.write_single_csv(counts, target)
+    return io.read_csv(spark, target, counts.schema, name="report")
 
 
 @query("multi_dataset_ingest", """

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from terrasift.functions import labels
 from terrasift.operators import classify, metrics, pixels, splits
 from terrasift.registry import IMAGE_CLASSES
+from terrasift.session import stage_table
 from terrasift.sources import images, sinks
 
 
@@ -34,6 +37,21 @@ def split_folder(files: DataFrame, target: str | None = None, **shares) -> DataF
     return out
 
 
+def train_classifier(images_table: DataFrame, options=pixels.ImageOptions(feature_size=pixels.FEATURE_SIZE),
+                     label="label_id", key="path", **fit_options) -> tuple:
+    """Preprocess, split by class, train on the train rows, score the rest.
+
+    ``images_table`` has ``path``, pixels and ``label_id``. Features are staged,
+    so no image is processed twice. Returns ``(model, scored test rows)``.
+    """
+    chosen = replace(options, keep_pixels=False, carry=(label,))
+    ready = stage_table(pixels.preprocess(images_table, chosen).filter(F.col("status") == "ok"), "image-features")
+    parts = splits.stratified_split(ready.select(key, label, "features"), label, [key])
+    model = classify.fit_classifier(parts.filter(F.col("split") == "train"), "features", label, **fit_options)
+    held_out = parts.filter(F.col("split") == "test")
+    return model, classify.classify(held_out, model, "features", keep=[key, label])
+
+
 def classify_images(features: DataFrame, model, classes=IMAGE_CLASSES, label_mode="parent_dir") -> DataFrame:
     """Batch predictions with the label implied by each path."""
     scored = classify.classify(features, model, "features", keep=["path"])

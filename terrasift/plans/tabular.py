@@ -33,12 +33,13 @@ def build_features(df: DataFrame, spec: DatasetSpec, target: str | None = None,
     return table
 
 
-def compare_models(df: DataFrame, spec: DatasetSpec, key_cols, candidates=None, seed=splits.SPLIT_SEED) -> DataFrame:
+def compare_models(df: DataFrame, spec: DatasetSpec, key_cols=None, candidates=None, seed=splits.SPLIT_SEED) -> DataFrame:
     """Leaderboard of the four regressors on one dataset.
 
     Features are fitted on the training rows only, so nothing of the test rows
-    (nor the label) reaches the model.
+    (nor the label) reaches the model. Without ``key_cols`` a row is its own key.
     """
+    key_cols = key_cols or df.columns
     columns = headers.resolve_columns(spec.features, df.columns)
     needed = [*columns, spec.label]
     quality.require_columns(df, needed)
@@ -51,7 +52,7 @@ def compare_models(df: DataFrame, spec: DatasetSpec, key_cols, candidates=None,
                               candidates or models.candidates(spec.label), spec.label, key_cols, spec.folds)
 
 
-def train_dataset(spark: SparkSession, name: str, path: str, key_cols, target: str | None = None, **params) -> tuple:
+def train_dataset(spark: SparkSession, name: str, path: str, key_cols=None, target: str | None = None, **params) -> tuple:
     """Train on a file of a registered dataset: ``(predictions, rmse)``.
 
     The file's encoding and separator are settled first; with ``target`` the

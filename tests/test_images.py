@@ -93,6 +93,17 @@ def test_split_and_report(spark, tmp_path):
     assert report["confusion"].count() == 16 and report["wrong"].first()["path"] == "r/Flood/2"
 
 
+def test_classifier_tells_bright_from_dark(spark):
+    rows = [(f"r/{'Flood' if i % 2 else 'Cyclone'}/{i}.png", i % 2, 4, 4, 3,
+             bytearray(((200 if i % 2 else 20) + (7 * i + k) % 30) for k in range(48))) for i in range(60)]
+    table = spark.createDataFrame(rows, "path string, label_id int, height int, width int, channels int, data binary")
+    model, scored = imagery.train_classifier(table, pixels.ImageOptions(steps=("blur",), feature_size=4), max_iter=20)
+    assert scored.count() == 10 and scored.filter("prediction = label_id").count() == 10
+    named = imagery.classify_images(scored.select("path").join(
+        pixels.preprocess(table, pixels.ImageOptions(steps=("blur",), feature_size=4)), "path"), model, ["Cyclone", "Flood"])
+    assert named.filter("true_label = predicted").count() == 10
+
+
 def test_resize_weights():
     for size_in, size_out in ((8, 16), (16, 8), (7, 7), (5, 13)):
         assert np.allclose(pixels.triangle_weights(size_in, size_out).sum(axis=1), 1)

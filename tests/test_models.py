@@ -108,6 +108,8 @@ def test_named_dataset_from_a_dirty_file(spark, tmp_path):
     assert scored.filter("split = 'test'").count() == 22
     back = spark.read.option("header", True).csv(str(tmp_path / "out"))
     assert back.columns == ["Ms7", "预测值"] and back.count() == 108
+    whole, _ = tabular.train_dataset(spark, "CEN_Center_Earthquake_Catalog", path, trees=2)
+    assert whole.count() == 108 and whole.filter("split = 'test'").count() == 22
     with pytest.raises(ValueError, match="unknown dataset"):
         tabular.train_dataset(spark, "nope", path, ["序号"])
 
