@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from terrasift.llm.common import table
 from terrasift.llm.mixing import mix_table
+from terrasift.llm.ranking import score_documents
+from terrasift.llm.secrets import scan_documents
 from terrasift.llm.simhash import simhash_groups
 from terrasift.llm.urls import host_and_path, judge_urls
 
@@ -26,6 +28,10 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(pages, rules.unionByName(listed)).drop("url")
 
 
+def op2_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
 
@@ -34,10 +40,16 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_table(table(spark, sf_dir, "documents"))
 
 
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
+    "op2_quality_ranking": op2_quality_ranking,
     "op5_simhash": op5_simhash,
     "op9_mixing": op9_mixing,
+    "op10_secrets": op10_secrets,
 }
 
 ORACLE = {
