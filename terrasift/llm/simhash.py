@@ -37,6 +37,7 @@ PIVOTS = 24
 GROUP_LIMIT = 512   # classes with one block value that a single pass compares; more go to tiles
 TILE = 2048          # classes on a side of a tile
 ROWS_PER_TASK = 30_000
+PENDING = 200_000    # links a task holds before it joins them
 MEAN_GROUP = 64      # block values are made so wide that unrelated classes meet in groups of about this size
 
 
@@ -90,14 +91,13 @@ def block_scheme(classes: int) -> list[list[tuple[int, int]]]:
             return keys
 
 
-def _labels(count: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Least index reachable over the links i-j, for each of ``count`` rows."""
-    label = np.arange(count)
+def _joined(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """``label``, the least index reachable from each row so far, after the links i-j are added."""
     while True:
         low = np.minimum(label[i], label[j])
         new = label.copy()
-        np.minimum.at(new, i, low)
-        np.minimum.at(new, j, low)
+        np.minimum.at(new, label[i], low)
+        np.minimum.at(new, label[j], low)
         new = new[new]
         if (new == label).all():
             return label
@@ -133,16 +133,18 @@ def _compare_groups(rows: pd.DataFrame) -> pd.DataFrame:
     group = rows.groupby(["key", "value"], sort=False).ngroup().to_numpy()
     values = rows["fp"].to_numpy(np.int64).view(np.uint64)
     table = _distances(values)
-    first, second, step = [], [], 1
+    label, step, pending = np.arange(len(rows)), 1, []
     at = np.arange(len(rows) - 1)
     while len(at := at[at + step < len(rows)]) and len(at := at[group[at] == group[at + step]]):
-        keep = _survivors(values, table, at, at + step)
-        first.append(at[keep])
-        second.append(at[keep] + step)
+        new = at[label[at] != label[at + step]]  # rows joined already need no comparison
+        new = new[_survivors(values, table, new, new + step)]
+        pending.append((new, new + step))
+        if sum(len(x) for x, _ in pending) > PENDING:
+            label, pending = _joined(label, *map(np.concatenate, zip(*pending))), []
         step += 1
-    if not first:
-        return pd.DataFrame({"a": np.empty(0, np.int64), "b": np.empty(0, np.int64)})
-    return _stars(values, _labels(len(rows), np.concatenate(first), np.concatenate(second)))
+    if pending:
+        label = _joined(label, *map(np.concatenate, zip(*pending)))
+    return _stars(values, label)
 
 
 def _compare_tile(rows: pd.DataFrame) -> pd.DataFrame:
@@ -150,21 +152,12 @@ def _compare_tile(rows: pd.DataFrame) -> pd.DataFrame:
     rows = rows.drop_duplicates("fp").sort_values("fp", kind="stable")
     values = rows["fp"].to_numpy(np.int64).view(np.uint64)
     table = _distances(values)
-    label, size = np.arange(len(values)), 256
-    linked = np.zeros((len(values), len(values)), bool)
+    label, size = np.arange(len(values)), 64
     for low in range(0, len(values), size):
-        part = slice(low, low + size)
-        i, j = np.nonzero(np.abs(table[part, None, 0] - table[None, :, 0]) <= RADIUS)
+        i, j = np.nonzero(label[low:low + size, None] != label[None, :])
         keep = _survivors(values, table, i + low, j)
-        linked[i[keep] + low, j[keep]] = True
-    while True:
-        new = label.copy()
-        for low in range(0, len(values), size):
-            new[low:low + size] = np.where(linked[low:low + size], label[None, :], len(values)).min(axis=1)
-        new = new[new]
-        if (new == label).all():
-            return _stars(values, label)
-        label = new
+        label = _joined(label, i[keep] + low, j[keep])
+    return _stars(values, label)
 
 
 def links(classes: DataFrame, group_limit: int = GROUP_LIMIT, tile: int = TILE) -> DataFrame:
