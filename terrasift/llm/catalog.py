@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrasift.llm.common import table
+from terrasift.llm.contamination import contaminated
 from terrasift.llm.mixing import mix_table
 from terrasift.llm.ranking import score_documents
 from terrasift.llm.secrets import scan_documents
@@ -32,6 +33,10 @@ def op2_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
 
@@ -47,6 +52,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_quality_ranking": op2_quality_ranking,
+    "op3_decontamination": op3_decontamination,
     "op5_simhash": op5_simhash,
     "op9_mixing": op9_mixing,
     "op10_secrets": op10_secrets,
@@ -71,6 +77,23 @@ SELECT page_id, host, path, rule, CASE
   WHEN rule IN ('www.example.com/en/', 'com/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
   WHEN regexp_matches(host, '{BAIT_PATTERN}') THEN 'block' ELSE 'allow' END AS verdict
 FROM ruled""",
+    "op3_decontamination": r"""
+WITH items AS (SELECT item_id, regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+') AS w FROM benchmark),
+pieces AS (
+  SELECT item_id, least(len(w), 5) AS length, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda k: array_to_string(w[k:k + least(len(w), 5) - 1], ' '))) AS shingle
+  FROM items WHERE len(w) > 0),
+wanted AS (SELECT DISTINCT item_id, length, shingle FROM pieces),
+sizes AS (SELECT item_id, count(*) AS n_shingles FROM wanted GROUP BY item_id),
+docs AS (SELECT doc_id, md5(text) AS text_key, regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+') AS w FROM documents WHERE text IS NOT NULL),
+lengths AS (SELECT DISTINCT length FROM wanted),
+parts AS (
+  SELECT doc_id, text_key, length, unnest(list_transform(range(1, len(w) - length + 2), lambda k: array_to_string(w[k:k + length - 1], ' '))) AS shingle
+  FROM docs, lengths WHERE len(w) >= length),
+have AS (SELECT DISTINCT doc_id, text_key, length, shingle FROM parts),
+found AS (
+  SELECT doc_id, text_key, item_id, count(*) AS n_found FROM have JOIN wanted USING (length, shingle) GROUP BY ALL)
+SELECT doc_id, item_id, n_shingles, max(n_found) AS n_found, max(n_found) / n_shingles AS containment
+FROM found JOIN sizes USING (item_id) WHERE n_found * 100 >= n_shingles * 80 GROUP BY doc_id, item_id, n_shingles""",
     "op9_mixing": r"""
 WITH sizes AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,

@@ -35,7 +35,7 @@ from terrasift.llm.common import staged
 SAMPLE_PER_LABEL = 4_000
 PAIRS = 40_000
 QUANTILES = 999
-FEATURES = ("length", "word length", "symbols", "bars", "capitals", "exclamations", "digits", "other words", "next word equal",
+FEATURES = ("length", "word length", "symbols", "bars", "capitals", "exclamations", "digits", "words seen before", "next word equal",
             "lines equal", "sentences equal", "commonest word", "short words", "windows equal", "punctuated words")
 SYMBOLS, CAPITALS, DIGITS = b"#*$%&<>", bytes(range(65, 91)), b"0123456789"
 
@@ -44,11 +44,15 @@ def text_features(text: str | None) -> list[float]:
     """The features named by ``FEATURES``, of the whole text."""
     raw = (text or "").encode()
     found = raw.split()
-    n, size = max(1, len(found)), max(1, len(raw))
+    # Shares lean towards zero in short texts, where one capital or mark says little.
+    n, size = len(found) + 10, len(raw) + 50
 
     def share(kind):
         return (len(raw) - len(raw.translate(None, kind))) / size
 
+    def repeated(parts, few):
+        return (len(parts) - len(set(parts))) / (len(parts) + few)
+
     counts: dict[bytes, int] = {}
     for word in found:
         counts[word] = counts.get(word, 0) + 1
@@ -57,10 +61,9 @@ def text_features(text: str | None) -> list[float]:
     windows = list(zip(found, found[1:], found[2:], found[3:]))
     return [
         math.log1p(len(found)), min(20.0, sum(map(len, found)) / n), share(SYMBOLS), raw.count(b"|") / size, share(CAPITALS),
-        raw.count(b"!") / size, share(DIGITS), len(counts) / n, sum(map(eq, found, found[1:])) / n,
-        1 - len(set(lines)) / max(1, len(lines)), 1 - len(set(sentences)) / max(1, len(sentences)),
-        max(counts.values(), default=0) / n, sum(len(w) <= 3 for w in found) / n,
-        1 - len(set(windows)) / max(1, len(windows)), sum(not w[-1:].isalnum() and w[-1] < 128 for w in found) / n]
+        raw.count(b"!") / size, share(DIGITS), (len(found) - len(counts)) / n, sum(map(eq, found, found[1:])) / n,
+        repeated(lines, 3), repeated(sentences, 5), max(counts.values(), default=0) / n, sum(len(w) <= 3 for w in found) / n,
+        repeated(windows, 10), sum(not w[-1:].isalnum() and w[-1] < 128 for w in found) / n]
 
 
 def with_features(documents: DataFrame) -> DataFrame:
