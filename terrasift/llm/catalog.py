@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from terrasift.llm.common import table
 from terrasift.llm.contamination import contaminated
 from terrasift.llm.mixing import mix_table
+from terrasift.llm.pii import find_personal_data
 from terrasift.llm.ranking import score_documents
 from terrasift.llm.secrets import scan_documents
 from terrasift.llm.simhash import simhash_groups
+from terrasift.llm.target_rules import judge_documents
 from terrasift.llm.urls import host_and_path, judge_urls
 
 RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
@@ -41,6 +43,14 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_personal_data(table(spark, sf_dir, "documents"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_table(table(spark, sf_dir, "documents"))
 
@@ -54,6 +64,8 @@ QUERIES = {
     "op2_quality_ranking": op2_quality_ranking,
     "op3_decontamination": op3_decontamination,
     "op5_simhash": op5_simhash,
+    "op7_quality_rules": op7_quality_rules,
+    "op8_personal_data": op8_personal_data,
     "op9_mixing": op9_mixing,
     "op10_secrets": op10_secrets,
 }
