@@ -103,21 +103,23 @@ def spans_of(kind: str, text: Column) -> Column:
     pattern, order = PATTERNS[kind], list(PATTERNS).index(kind)
     none = F.array().cast("array<struct<start:int,order:int,end:int,kind:string,score:double>>")
 
+    def spans(matches, pieces, at):
+        def one(match, k):
+            # The text on both sides, up to the neighbouring matches.
+            near = F.lower(F.concat_ws(" ", F.right(pieces[k], F.lit(NEAR)), F.left(pieces[k + 1], F.lit(NEAR))))
+            score = F.lit(PRIOR[kind] + (CONFIRMED if kind in ("card", "iban") else 0.0)) + F.when(
+                near.rlike(rf"(?<![a-z])({WORDS[kind]})"), F.lit(CONTEXT)).otherwise(F.lit(0.0))
+            return F.when(valid(kind, match), F.struct(
+                at[k].alias("start"), F.lit(order).alias("order"), (at[k] + F.length(match)).cast("int").alias("end"),
+                F.lit(kind).alias("kind"), score.alias("score")))
+
+        found = F.filter(F.transform(matches, one), lambda x: x.isNotNull())
+        return found if kind in STATED else F.filter(found, lambda x: x["score"] >= LEAST)
+
     def build(matches):
-        def span(at):
-            def one(match, k):
-                start = at[k]
-                near = F.lower(F.concat(F.substr(text, F.greatest(start - NEAR, F.lit(0)) + 1, F.least(start, F.lit(NEAR))),
-                                        F.lit(" "), F.substr(text, start + F.length(match) + 1, F.lit(NEAR))))
-                score = F.lit(PRIOR[kind] + (CONFIRMED if kind in ("card", "iban") else 0.0)) + F.when(
-                    near.rlike(rf"(?<![a-z])({WORDS[kind]})"), F.lit(CONTEXT)).otherwise(F.lit(0.0))
-                return F.when(valid(kind, match), F.struct(
-                    start.alias("start"), F.lit(order).alias("order"), (start + F.length(match)).cast("int").alias("end"),
-                    F.lit(kind).alias("kind"), score.alias("score")))
-            found = F.filter(F.transform(matches, one), lambda x: x.isNotNull())
-            return found if kind in STATED else F.filter(found, lambda x: x["score"] >= LEAST)
-
-        return F.when(F.size(matches) == 0, none).otherwise(bound(starts(F.split(text, pattern, -1), matches), span))
+        def cut(pieces):
+            return bound(starts(pieces, matches), lambda at: spans(matches, pieces, at))
+        return F.when(F.size(matches) == 0, none).otherwise(bound(F.split(text, pattern, -1), cut))
 
     present = F.contains(text, F.lit(MARK[kind])) if kind in MARK else F.col("has_digits")
     found = F.when(present, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(F.array().cast("array<string>"))

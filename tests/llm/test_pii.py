@@ -65,7 +65,7 @@ def test_checksums_and_context(spark, documents):
 
 
 def test_many_spans_and_long_runs(spark, documents):
-    texts = [" ".join(f"u{k}@h{k}.org" for k in range(3000)), "1" * 60_000, "a" * 60_000, "1.2.3.4 " * 4000, "1 " * 30_000, "+1" + "-" * 30_000]
+    texts = [" ".join(f"u{k}@h{k}.org" for k in range(3000)), "1" * 6_000, "a" * 6_000, "1.2.3.4 " * 4000, "1 " * 30_000, "+1" + "-" * 30_000]
     check(find_personal_data(documents(texts)).collect(), dict(enumerate(texts)))
 
 
