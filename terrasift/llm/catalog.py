@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terrasift.llm.chunks import repeated_spans
 from terrasift.llm.common import table
 from terrasift.llm.contamination import contaminated
 from terrasift.llm.mixing import mix_table
@@ -43,6 +44,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_spans(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -64,6 +69,7 @@ QUERIES = {
     "op2_quality_ranking": op2_quality_ranking,
     "op3_decontamination": op3_decontamination,
     "op5_simhash": op5_simhash,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_quality_rules": op7_quality_rules,
     "op8_personal_data": op8_personal_data,
     "op9_mixing": op9_mixing,
