@@ -9,6 +9,7 @@ from terrasift.llm.chunks import repeated_spans
 from terrasift.llm.common import table
 from terrasift.llm.contamination import contaminated
 from terrasift.llm.mixing import mix_table
+from terrasift.llm.pages import extract_texts
 from terrasift.llm.pii import find_personal_data
 from terrasift.llm.ranking import score_documents
 from terrasift.llm.secrets import scan_documents
@@ -40,6 +41,10 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_texts(table(spark, sf_dir, "pages"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
 
@@ -68,6 +73,7 @@ QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_quality_ranking": op2_quality_ranking,
     "op3_decontamination": op3_decontamination,
+    "op4_html_text": op4_html_text,
     "op5_simhash": op5_simhash,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_quality_rules": op7_quality_rules,

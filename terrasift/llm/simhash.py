@@ -198,3 +198,30 @@ def simhash_groups(documents: DataFrame, **settings) -> DataFrame:
     ids = lowest.groupBy("root").agg(F.min("least").alias("component_id"))
     ids = lowest.select("fp", "root").join(ids, "root").select("fp", "component_id")
     return prints.join(ids, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_first(documents: DataFrame, **settings) -> DataFrame:
+    """One document of each component, with all its columns: the one with the least ``doc_id``.
+
+    Of rows that repeat this id one stays. A row without an id stays only where its
+    component has no id at all, and of such rows with one fingerprint one stays.
+    """
+    own = documents.columns
+    groups = staged(simhash_groups(documents, **settings), "groups")
+    firsts = groups.filter("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n"))
+    firsts = staged(firsts.withColumnRenamed("doc_id", "_first"), "firsts")
+    rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("_row"))
+    first = F.col("_row.doc_id") == F.col("_first")
+    kept = rows.join(firsts.filter("_n = 1"), first, "left_semi")
+    if firsts.filter("_n > 1").take(1):
+        again = rows.join(firsts.filter("_n > 1"), first, "left_semi")
+        kept = kept.unionByName(again.withColumn("_id", F.col("_row.doc_id")).dropDuplicates(["_id"]).select("_row"))
+    nameless = groups.filter("component_id IS NULL").select(F.col("fingerprint").alias("_print")).distinct()
+    if nameless.take(1):
+        unnamed = with_fingerprints(documents.filter("doc_id IS NULL").select(F.col("text").alias("doc_id"), "text"))
+        hexed = unnamed.select(F.col("doc_id").alias("_text"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("_print")).distinct()
+        hexed = hexed.join(nameless, "_print").groupBy("_print").agg(F.min(F.struct(F.col("_text").isNull(), "_text")).alias("_least"))
+        texts = hexed.select(F.col("_least._text").alias("_text"))
+        alone = rows.filter("_row.doc_id IS NULL").join(texts, F.col("_row.text").eqNullSafe(F.col("_text")), "left_semi")
+        kept = kept.unionByName(alone.withColumn("_id", F.col("_row.text")).dropDuplicates(["_id"]).select("_row"))
+    return kept.select(*[F.col("_row").getField(c).alias(c) for c in own])
