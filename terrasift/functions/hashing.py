@@ -1,7 +1,8 @@
 """Seeded row hashes that any SQL engine can recompute.
 
-``md5`` of ``seed|key...`` in hex: uniform, stable across retries, partitions
-and engines, so a split never depends on how Spark happened to place the rows.
+``md5`` of ``seed|length:key|...`` in hex, ``null`` standing for a null: uniform,
+stable across retries, partitions and engines, so a split never depends on how
+Spark happened to place the rows. The lengths keep keys with separators apart.
 """
 
 from __future__ import annotations
@@ -14,7 +15,9 @@ HEX_DIGITS = 8
 
 
 def row_hash(key_cols, seed) -> Column:
-    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[quoted(c).cast("string") for c in key_cols]).cast("binary"))
+    texts = [quoted(c).cast("string") for c in key_cols]
+    parts = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("null")) for t in texts]
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *parts).cast("binary"))
 
 
 def unit_interval(hash_col: Column) -> Column:

@@ -18,18 +18,27 @@ def scatter(df: DataFrame, x: str, y: str, key_cols=None, share=1.0) -> DataFram
 
 
 def histogram(df: DataFrame, column: str, bins=10) -> DataFrame:
-    """Equal-width bins over the column's range, empty bins included."""
+    """Equal-width bins over the column's finite range, empty bins included.
+
+    Infinities have no place in a bin; they are counted in two more rows, -1
+    from minus infinity and ``bins`` to plus infinity, which appear only if any
+    value is infinite. Nulls and NaN are left out.
+    """
     value = quoted(column).cast("double")
     valued = df.select(value.alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
-    edges = valued.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi")).alias("e")).scalar()
+    above, below = F.col("v") == float("inf"), F.col("v") == float("-inf")
+    finite = F.when(~above & ~below, F.col("v"))
+    edges = valued.agg(F.struct(F.min(finite).alias("lo"), F.max(finite).alias("hi")).alias("e")).scalar()
     lo, width = F.col("e.lo"), F.col("e.hi") - F.col("e.lo")
     slot = F.when(width > 0, F.least(F.lit(bins - 1), F.floor((F.col("v") - lo) / width * bins)))
-    counts = (valued.select("v", edges.alias("e"))
-              .groupBy(F.coalesce(slot, F.lit(0)).cast("bigint").alias("bin")).agg(F.count("*").alias("n")))
-    every = df.sparkSession.range(bins).select(F.col("id").alias("bin"), edges.alias("e"))
-    return every.join(counts, "bin", "left").select(
-        "bin", (lo + F.col("bin") * width / bins).alias("lower"),
-        (lo + (F.col("bin") + 1) * width / bins).alias("upper"), F.coalesce("n", F.lit(0)).alias("n"))
+    place = F.when(above, F.lit(bins)).when(below, F.lit(-1)).otherwise(F.coalesce(slot, F.lit(0))).cast("bigint")
+    counts = valued.select("v", edges.alias("e")).groupBy(place.alias("bin")).agg(F.count("*").alias("n"))
+    every = df.sparkSession.range(-1, bins + 1).select(F.col("id").alias("bin"), edges.alias("e"))
+    outer = (F.col("bin") == -1) | (F.col("bin") == bins)
+    lower = F.when(F.col("bin") == -1, F.lit(float("-inf"))).when(F.col("bin") == bins, F.col("e.hi")).otherwise(lo + F.col("bin") * width / bins)
+    upper = F.when(F.col("bin") == -1, lo).when(F.col("bin") == bins, F.lit(float("inf"))).otherwise(lo + (F.col("bin") + 1) * width / bins)
+    return (every.join(counts, "bin", "left").filter(~outer | F.col("n").isNotNull())
+            .select("bin", lower.alias("lower"), upper.alias("upper"), F.coalesce("n", F.lit(0)).alias("n")))
 
 
 def box_stats(df: DataFrame, value: str, by: str, reach=1.5, **options) -> DataFrame:
@@ -62,7 +71,7 @@ def bar(df: DataFrame, category: str) -> DataFrame:
     return df.groupBy(quoted(category).alias("category")).agg(F.count("*").alias("n"))
 
 
-def roc_points(df: DataFrame, score: str, label: str, rows_per_bucket=None) -> DataFrame:
+def roc_points(df: DataFrame, score: str, label: str, ranges=None) -> DataFrame:
     """One point per distinct score, highest first: ``score, tp, fp, tpr, fpr``.
 
     Rows are counted per score before anything is ordered.
@@ -70,8 +79,7 @@ def roc_points(df: DataFrame, score: str, label: str, rows_per_bucket=None) -> D
     counted = (df.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
                .groupBy(F.col(score).alias("score"))
                .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg")))
-    options = {"rows_per_bucket": rows_per_bucket} if rows_per_bucket else {}
-    curve = running_totals(counted, "score", ["pos", "neg"], ascending=False, **options)
+    curve = running_totals(counted, "score", ["pos", "neg"], ascending=False, ranges=ranges)
     return curve.select("score", "pos", "neg", F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"),
                         (F.col("cum_pos") / F.nullif(F.col("all_pos"), F.lit(0))).alias("tpr"),
                         (F.col("cum_neg") / F.nullif(F.col("all_neg"), F.lit(0))).alias("fpr"))

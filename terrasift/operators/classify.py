@@ -88,8 +88,9 @@ def _tolerant(predict):
 
 def top_class(df: DataFrame, scores: str, names=IMAGE_CLASSES, keep=()) -> DataFrame:
     """Softmax of a score array, its top class and confidence; null scores stay null."""
-    probabilities = df.select("*", vectors.softmax(quoted(scores)).alias("probabilities"))
-    index = vectors.top_index(F.col("probabilities"))
-    return probabilities.select(*[quoted(c) for c in keep], "probabilities", index.alias("class_id"),
-                                class_name(index, names).alias("predicted"),
-                                vectors.confidence(F.col("probabilities")).alias("confidence"))
+    # One struct, bound once: probabilities, their maximum and its place.
+    made = vectors.bound(vectors.softmax(quoted(scores)), lambda p: vectors.bound(F.array_max(p), lambda top: F.struct(
+        p.alias("probabilities"), (F.array_position(p, top) - 1).cast("int").alias("class_id"), top.alias("confidence"))))
+    rows = df.select(*[quoted(c) for c in keep], made.alias("_top"))
+    return rows.select(*[quoted(c) for c in keep], "_top.probabilities", "_top.class_id",
+                       class_name(F.col("_top.class_id"), names).alias("predicted"), "_top.confidence")

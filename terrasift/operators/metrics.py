@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from terrasift.functions.numeric import is_missing, quoted, true_share, within
 from terrasift.operators.quality import require_columns
+from terrasift.operators.ranks import running_totals
 from terrasift.registry import IMAGE_CLASSES, UNKNOWN_LABEL
 from terrasift.session import stage_table
 
@@ -13,8 +14,6 @@ from terrasift.session import stage_table
 TOLERANCE = 0.5
 # End of fixed values.
 
-MAX_LABELS = 1000
-
 
 def _square_error(label, prediction):
     return F.pow(quoted(label) - quoted(prediction), F.lit(2.0))
@@ -37,10 +36,11 @@ def within_threshold(df: DataFrame, label: str, prediction="prediction", thresho
 
 
 def regression_report(df: DataFrame, label: str, prediction="prediction", threshold=TOLERANCE) -> DataFrame:
-    """RMSE and within-threshold accuracy from the same scan."""
+    """RMSE and within-threshold accuracy from the same scan, with all rows and those both rest on."""
     hit = F.when(_both_present(df, label, prediction), within(quoted(label), quoted(prediction), threshold))
-    return df.agg(F.sqrt(F.avg(_square_error(label, prediction))).alias("rmse"),
-                  F.coalesce(true_share(hit), F.lit(0.0)).alias("accuracy"), F.count("*").alias("rows"))
+    return df.agg(F.sqrt(F.avg(F.when(hit.isNotNull(), _square_error(label, prediction)))).alias("rmse"),
+                  F.coalesce(true_share(hit), F.lit(0.0)).alias("accuracy"), F.count("*").alias("rows"),
+                  F.count(hit).alias("usable"))
 
 
 def accuracy(df: DataFrame, true: str, predicted: str) -> DataFrame:
@@ -97,24 +97,25 @@ def confusion_counts(df: DataFrame, true: str, predicted: str) -> DataFrame:
             .agg(F.count("*").alias("n")))
 
 
-def label_universe(df: DataFrame, true: str, predicted: str, classes=IMAGE_CLASSES) -> DataFrame:
-    """Sorted union of true, predicted and configured labels."""
-    return _labels_row(confusion_counts(df, true, predicted), classes).select(F.explode("labels").alias("label"))
+def _labels(cells, classes) -> DataFrame:
+    found = cells.select(F.explode(F.array("true_label", "predicted")).alias("label")).filter(F.col("label").isNotNull())
+    given = cells.sparkSession.createDataFrame([(c,) for c in classes], "label string")
+    return found.unionByName(given).distinct()
 
 
-def _labels_row(cells, classes):
-    """One row holding the sorted labels.
+def label_universe(df: DataFrame, true: str, predicted: str, classes=IMAGE_CLASSES) -> DataFrame:
+    """Union of true, predicted and configured labels, one row each, in order."""
+    return _labels(confusion_counts(df, true, predicted), classes).orderBy("label")
 
-    A dense matrix over more than ``MAX_LABELS`` labels is refused with an
-    error (the sparse cells stay available), never cut.
-    """
-    found = cells.select(F.explode(F.array("true_label", "predicted")).alias("label")).filter(F.col("label").isNotNull())
-    labels = F.array_sort(F.array_union(F.collect_set("label"), F.array(*[F.lit(c) for c in classes]).cast("array<string>")))
-    # The limit only feeds the guard: with more labels the query fails.
-    row = found.distinct().limit(MAX_LABELS + 1).agg(labels.alias("labels"))
-    guard = F.when(F.size("labels") <= MAX_LABELS, F.col("labels")).otherwise(
-        F.raise_error(F.lit(f"more than {MAX_LABELS} labels; use confusion_counts")).cast("array<string>"))
-    return row.select(guard.alias("labels"))
+
+def heatmap_cells(df: DataFrame, true: str, predicted: str, classes=IMAGE_CLASSES) -> DataFrame:
+    """Non-empty cells with positions: ``x`` of the predicted, ``y`` of the true label in the order of all labels."""
+    cells = stage_table(confusion_counts(df, true, predicted), "cells")
+    places = running_totals(_labels(cells, classes).withColumn("one", F.lit(1)), "label", ["one"])
+    places = places.select("label", (F.col("cum_one") - 1).cast("int").alias("place"))
+    rows = places.select(F.col("label").alias("true_label"), F.col("place").alias("y"))
+    columns = places.select(F.col("label").alias("predicted"), F.col("place").alias("x"))
+    return cells.join(rows, "true_label").join(columns, "predicted").select("x", "y", "true_label", "predicted", "n")
 
 
 def confusion_matrix(df: DataFrame, true: str, predicted: str, classes=IMAGE_CLASSES) -> DataFrame:
@@ -123,24 +124,33 @@ def confusion_matrix(df: DataFrame, true: str, predicted: str, classes=IMAGE_CLA
 
 
 def heatmap_triples(df: DataFrame, true: str, predicted: str, classes=IMAGE_CLASSES) -> DataFrame:
-    """Cells with positions: ``x`` of the predicted, ``y`` of the true label.
+    """The dense grid with positions: ``x`` of the predicted, ``y`` of the true label.
 
-    The cells are staged, so the table is scanned once although they give both
-    the labels and the numbers.
+    The square of the labels is what a dense grid is; :func:`heatmap_cells`
+    gives the non-empty cells alone. The cells are staged, so the table is
+    scanned once although they give both the labels and the numbers.
     """
     cells = stage_table(confusion_counts(df, true, predicted), "cells")
-    rows = _labels_row(cells, classes).select("labels", F.posexplode("labels").alias("y", "true_label"))
+    labels = _labels(cells, classes).agg(F.array_sort(F.collect_list("label")).alias("labels"))
+    rows = labels.select("labels", F.posexplode("labels").alias("y", "true_label"))
     grid = rows.select("y", "true_label", F.posexplode("labels").alias("x", "predicted"))
     return (grid.join(cells, ["true_label", "predicted"], "left")
             .select("x", "y", "true_label", "predicted", F.coalesce("n", F.lit(0)).cast("bigint").alias("n")))
 
 
-def confusion_pivot(df: DataFrame, true: str, predicted: str, labels) -> DataFrame:
-    """Square form, one column per label of a known list."""
-    cells = confusion_counts(df, true, predicted)
-    return cells.groupBy("true_label").agg(
-        *[F.coalesce(F.sum(F.when(F.col("predicted") == name, F.col("n"))), F.lit(0)).cast("bigint").alias(name)
-          for name in labels])
+def confusion_pivot(df: DataFrame, true: str, predicted: str, classes=IMAGE_CLASSES) -> DataFrame:
+    """Square form: a row and a column for every label that occurs or is configured.
+
+    The labels name the columns, so the driver needs them; cells with a null
+    label have no place in the square.
+    """
+    cells = stage_table(confusion_counts(df, true, predicted), "cells")
+    labels = _labels(cells, classes)
+    names = sorted(r["label"] for r in labels.collect())
+    wide = cells.groupBy("true_label").agg(
+        *[F.sum(F.when(F.col("predicted") == name, F.col("n"))).alias(f"c{i}") for i, name in enumerate(names)])
+    rows = labels.withColumnRenamed("label", "true_label").join(wide, "true_label", "left")
+    return rows.select("true_label", *[F.coalesce(f"c{i}", F.lit(0)).cast("bigint").alias(name) for i, name in enumerate(names)])
 
 
 def colour_maximum(df: DataFrame, true: str, predicted: str) -> DataFrame:

@@ -22,7 +22,6 @@ from terrasift.operators import metrics, splits
 from terrasift.operators.features import feature_stages
 from terrasift.operators.quality import cast_columns, drop_missing, require_columns, require_rows
 from terrasift.registry import DatasetSpec
-from terrasift.session import spread
 
 log = logging.getLogger(__name__)
 
@@ -74,22 +73,20 @@ def candidates(label, features="features", boost_params=None) -> dict:
 
 
 @contextmanager
-def training_rows(df: DataFrame, columns):
-    """Only the columns a fit reads, cached while it iterates and spread over the cores.
+def training_rows(df: DataFrame, columns, partitions=None):
+    """Only the columns a fit reads, cached while it iterates.
 
-    A table with fewer partitions than cores is small enough to be cached once
-    more after a repartition; a large one is cached as it was read.
+    Rows are dealt by their hash into ``partitions`` (the shuffle partitions, if
+    not given): forests seed their draws per partition, so a fit must not depend
+    on the number of cores or on how files were split.
     """
-    rows = df.select(*[quoted(c) for c in columns]).persist(StorageLevel.MEMORY_AND_DISK)
-    wide = spread(rows)
-    if wide is not rows:
-        wide = wide.persist(StorageLevel.MEMORY_AND_DISK)
-        wide.count()
-        rows.unpersist()
+    chosen = [quoted(c) for c in columns]
+    partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.select(*chosen).repartition(partitions, *chosen).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        yield wide
+        yield rows
     finally:
-        wide.unpersist()
+        rows.unpersist()
 
 
 def fit(estimator, df: DataFrame):
@@ -170,8 +167,7 @@ def leaderboard(train: DataFrame, test: DataFrame, models: dict, label: str, key
 def train_and_score_all(df: DataFrame, spec: DatasetSpec, key_cols=None, trees=APP_TREES, **params) -> tuple:
     """Random forest on raw features: predictions for every complete row, hold-out RMSE.
 
-    Without ``key_cols`` a row is its own key, so equal rows stay on one side of
-    the hold-out. Returns ``(predictions, rmse)``, both DataFrames.
+    Without ``key_cols`` a row is its own key. Returns ``(predictions, rmse)``, both DataFrames.
     """
     require_columns(df, spec.required)
     ready = drop_missing(cast_columns(df, spec.required), spec.required)

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, functions as F
 
 from terrasift.functions.hashing import row_hash, unit_interval
 from terrasift.functions.numeric import quoted
-from terrasift.operators.ranks import hash_thresholds
+from terrasift.operators.ranks import hash_thresholds, numbered
 from terrasift.session import stage_table
 
 # Seeds and shares.
@@ -45,34 +48,52 @@ def random_parts(df: DataFrame, key_cols, train=0.8, seed=SPLIT_SEED) -> tuple:
 
 
 def _cut(df, key_cols, strata, seed, cuts, names, digits):
-    hashed = df.select(*[quoted(s).alias(f"s{i}") for i, s in enumerate(strata)], row_hash(key_cols, seed).alias("h"))
-    keys = [f"s{i}" for i in range(len(strata))]
+    """Split at exact ranks of the order by key hash, then row hash.
+
+    Rows that are equal in every column and stand at a cut are numbered, and as
+    many as the cut needs fall below it.
+    """
+    columns, keys = df.columns, [f"s{i}" for i in range(len(strata))]
+    full = F.concat(row_hash(key_cols, seed), F.lower(F.lpad(F.hex(F.xxhash64(*[quoted(c) for c in columns])), 16, "0")))
+    hashed = df.select(*[quoted(s).alias(k) for k, s in zip(keys, strata)], full.alias("h"))
     # One row per stratum, staged so the join's broadcast rests on its real size.
     limits = stage_table(hash_thresholds(hashed, keys, cuts, digits), "split-limits")
-    columns = df.columns
-    marked = df.select(*[quoted(c) for c in columns], row_hash(key_cols, seed).alias("_h"))
+    places = range(len(names) - 1)
+    marked = df.select(F.struct(*[quoted(c) for c in columns]).alias("_row"), full.alias("_h"),
+                       *[quoted(s).alias(f"_{k}") for k, s in zip(keys, strata)])
     if strata:
         on = F.lit(True)
-        for k, s in zip(keys, strata):
-            on = on & quoted(s).eqNullSafe(limits[k])
+        for k in keys:
+            on = on & F.col(f"_{k}").eqNullSafe(F.col(k))
         marked = marked.join(limits, on, "left")
-        bounds = [F.coalesce(F.col(f"t{i}"), F.lit("")) for i in range(len(names) - 1)]
     else:
         row = limits.first()
-        bounds = [F.lit((row and row[f"t{i}"]) or "") for i in range(len(names) - 1)]
-    split = F
-    for bound, name in zip(bounds, names):
-        split = split.when(F.col("_h") <= bound, name)
-    return marked.select(*[quoted(c) for c in columns], split.otherwise(names[-1]).alias("split"))
+        marked = marked.withColumns({f"{c}{i}": F.lit(row and row[f"{c}{i}"]).cast("string" if c == "t" else "long")
+                                     for i in places for c in "tkm"})
+    at_cut = [(F.col("_h") == F.col(f"t{i}")) & (F.col(f"k{i}") < F.col(f"m{i}")) for i in places]
+    split_copies = F.coalesce(reduce(or_, at_cut), F.lit(False))
+
+    def named(number):
+        split = F
+        for i, name in zip(places, names):
+            split = split.when((F.col("_h") < F.col(f"t{i}")) | ((F.col("_h") == F.col(f"t{i}")) & (number <= F.col(f"k{i}"))), name)
+        return split.otherwise(names[-1]).alias("split")
+
+    own = [F.col("_row").getField(c).alias(c) for c in columns]
+    if limits.filter(reduce(or_, [F.col(f"k{i}") < F.col(f"m{i}") for i in places])).isEmpty():
+        return marked.select(*own, named(F.lit(0)))
+    copies = numbered(marked.filter(split_copies), ["_h", *[f"_{k}" for k in keys]])
+    return marked.filter(~split_copies).select(*own, named(F.lit(0))).unionByName(copies.select(*own, named(F.col("number"))))
 
 
 def stratified_split(df: DataFrame, class_col: str, key_cols, train=TRAIN_SHARE, val=VAL_SHARE, test=None,
                      seed=SPLIT_SEED, digits=4) -> DataFrame:
     """Add ``split`` with ``floor(train·n)`` train and ``floor(val·n)`` val rows per class.
 
-    ``key_cols`` identify a row. Order within a class is the key's hash; see
-    :func:`terrasift.operators.ranks.hash_thresholds` for how the exact cuts
-    are found. ``digits`` sets the hash buckets per class (16**digits).
+    Order within a class is the hash of ``key_cols``, which may repeat, and then
+    that of the row; see :func:`terrasift.operators.ranks.hash_thresholds` for
+    how the exact cuts are found. ``digits`` sets the hash buckets per class
+    and step (16**digits).
     """
     train, val, _ = check_ratios(train, val, test)
 

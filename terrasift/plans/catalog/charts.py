@@ -53,7 +53,7 @@ def chart_scatter(spark, folder):
 
 @query("chart_scatter_sample", """
 SELECT o_orderkey AS x, o_totalprice AS y FROM orders
-WHERE CAST(('0x' || substr(md5('0|' || o_orderkey), 1, 8)) AS BIGINT) / 4294967296.0::DOUBLE < 0.05::DOUBLE""")
+WHERE CAST(('0x' || substr(md5('0|' || length(o_orderkey::VARCHAR) || ':' || o_orderkey), 1, 8)) AS BIGINT) / 4294967296.0::DOUBLE < 0.05::DOUBLE""")
 def chart_scatter_sample(spark, folder):
     return ops.scatter(table(spark, folder, "orders"), "o_orderkey", "o_totalprice", ["o_orderkey"], share=0.05)
 

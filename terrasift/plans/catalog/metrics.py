@@ -8,7 +8,7 @@ from terrasift.operators import classify
 from terrasift.operators import metrics as ops
 from terrasift.plans.catalog import query, table
 
-EVENT_TYPES = ["click", "error", "purchase", "scroll", "view"]
+EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 ABSENT = "never_seen"
 
 RULE_SQL = """(SELECT event_id, event_type AS t, CASE WHEN value > 20 THEN 'view' WHEN value < 5 THEN 'Unknown'
@@ -50,7 +50,7 @@ def range_predicate(spark, folder):
 
 
 @query("regression_report", f"""
-SELECT round(sqrt(avg((y-p)*(y-p))), 6) AS rmse, count(*) AS rows,
+SELECT round(sqrt(avg((y-p)*(y-p))), 6) AS rmse, count(*) AS rows, count(y - p) AS usable,
  round(count(*) FILTER (WHERE abs(y - p) <= 0.5) / nullif(count(p), 0)::DOUBLE, 8) AS accuracy FROM {PRICE_SQL}""")
 def regression_report(spark, folder):
     out = ops.regression_report(_priced(spark, folder), "y", "p")
@@ -132,20 +132,37 @@ def colour_maximum(spark, folder):
     return ops.colour_maximum(_ruled(spark, folder), "t", "p")
 
 
-@query("confusion_pivot", "SELECT t AS true_label, " + ", ".join(
-    f"count(*) FILTER (WHERE p = '{c}') AS \"{c}\"" for c in EVENT_TYPES) + f" FROM {RULE_SQL} GROUP BY t")
+@query("heatmap_cells", GRID + "SELECT x, y, true_label, predicted, n FROM g WHERE n > 0")
+def heatmap_cells(spark, folder):
+    return ops.heatmap_cells(_ruled(spark, folder), "t", "p", EVENT_TYPES + [ABSENT])
+
+
+@query("confusion_pivot", GRID + "SELECT label AS true_label, " + ", ".join(
+    f"(SELECT count(*) FROM r WHERE r.t = label AND r.p = '{c}') AS \"{c}\"" for c in [*EVENT_TYPES, "Unknown", ABSENT]) + " FROM i")
 def confusion_pivot(spark, folder):
-    return ops.confusion_pivot(_ruled(spark, folder), "t", "p", EVENT_TYPES)
+    return ops.confusion_pivot(_ruled(spark, folder), "t", "p", [ABSENT])
+
+
+@query("confusion_pivot_total", f"SELECT count(*) AS rows FROM {RULE_SQL}")
+def confusion_pivot_total(spark, folder):
+    """The cells of the square add up to the rows."""
+    square = confusion_pivot(spark, folder)
+    cells = sum((F.col(f"`{c}`") for c in square.columns if c != "true_label"), F.lit(0))
+    return square.agg(F.sum(cells).cast("bigint").alias("rows"))
 
 
-SOFTMAX_SQL = """(SELECT vec_id, label, i, x, exp(x - max(x) OVER w) / sum(exp(x - m)) OVER w AS p FROM
- (SELECT vec_id, label, i, embedding[i]::DOUBLE AS x, max(embedding[i]::DOUBLE) OVER (PARTITION BY vec_id) AS m
-  FROM embeddings, (SELECT unnest([1, 2, 3, 4]) AS i)) WINDOW w AS (PARTITION BY vec_id))"""
+SOFTMAX_SQL = """(SELECT vec_id, label, i, x, exp(x - m) / sum(exp(x - m)) OVER w AS p FROM
+ (SELECT *, max(x) OVER (PARTITION BY vec_id) AS m FROM
+  (SELECT vec_id, label, (j - 1) // 16 + 1 AS i, sum(embedding[j]::DOUBLE) AS x
+   FROM embeddings, (SELECT unnest(range(1, 65)) AS j) GROUP BY ALL)) WINDOW w AS (PARTITION BY vec_id))"""
 
 
 def _four_scores(spark, folder):
-    return table(spark, folder, "embeddings").select(
-        "vec_id", (F.col("label") % 4).alias("label"), F.slice("embedding", 1, 4).cast("array<double>").alias("scores"))
+    """Four scores from all 64 values, each the sum of a quarter."""
+    values = F.col("embedding").cast("array<double>")
+    sums = F.transform(F.sequence(F.lit(0), F.lit(3)), lambda k: F.aggregate(
+        F.slice(values, k * 16 + 1, 16), F.lit(0.0), lambda acc, x: acc + x))
+    return table(spark, folder, "embeddings").select("vec_id", (F.col("label") % 4).alias("label"), sums.alias("scores"))
 
 
 NAMES_SQL = "list_extract(['Cyclone','Earthquake','Flood','Wildfire'], {0})"

@@ -105,12 +105,12 @@ def duplicate_headers_csv(spark, folder):
     return io.read_csv(spark, target).withColumn("id", F.col("id").cast("bigint"))
 
 
-EVENT_TYPES = ["click", "error", "purchase", "scroll", "view"]
+EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 
 
 @query("class_dir_scan", """
 SELECT event_type AS label, CAST(CASE event_type WHEN 'click' THEN 0 WHEN 'error' THEN 1 WHEN 'purchase' THEN 2
- WHEN 'scroll' THEN 3 WHEN 'view' THEN 4 END AS INTEGER) AS label_id, count(*) AS lines,
+ WHEN 'signup' THEN 3 WHEN 'view' THEN 4 END AS INTEGER) AS label_id, count(*) AS lines,
  CAST(sum(length(props) + 1) AS BIGINT) AS bytes FROM events GROUP BY event_type""")
 def class_dir_scan(spark, folder):
     """Events as text files, one directory per type, read back as binary files."""

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -42,19 +40,21 @@ def build_session(app_name="terrasift", master=None, default_fs=None, shuffle_pa
     return builder.getOrCreate()
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """Folder that the driver and all executors share: ``spark.checkpoint.dir``, or else one in the warehouse."""
+    root = spark.conf.get(SCRATCH_CONF, None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    return f"{root.rstrip('/')}/terrasift"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the shared folder named by ``spark.checkpoint.dir``.
+    """A fresh path under the shared folder; :func:`clear_scratch` removes what is there."""
+    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
-    Without that setting a temporary folder is used, but only in local mode:
-    on a cluster other machines could not read it, so there it is an error.
-    """
-    root = spark.conf.get(SCRATCH_CONF, None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"set {SCRATCH_CONF} to a folder every executor can reach")
-        root = os.path.join(tempfile.gettempdir(), "terrasift-scratch")
-        spark.conf.set(SCRATCH_CONF, root)
-    return f"{root.rstrip('/')}/terrasift/{label}-{uuid.uuid4().hex}"
+
+def clear_scratch(spark: SparkSession) -> bool:
+    """Delete all staged tables, also those of other sessions that use the folder; True if there were any."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage_table(df, label: str):
@@ -67,15 +67,3 @@ def stage_table(df, label: str):
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.parquet(path)
-
-
-def spread(df, min_partitions=None):
-    """Repartition only when the plan yields fewer partitions than cores.
-
-    Work over a table that sits in one small file would otherwise run on one
-    core; a big scan has plenty of splits and is returned unchanged. Use it on
-    scans and cached tables: asking a plan that shuffles for its partitions
-    would run the shuffle.
-    """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= want else df.repartition(want)

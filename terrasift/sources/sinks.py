@@ -16,8 +16,6 @@ PATH, TRUE, PRED = "图像路径", "真实值", "预测值"
 INFERRED_TRUE, CONFIDENCE = "真实标签(推断)", "置信度"
 # End of fixed values.
 
-SINGLE_FILE_ROWS = 1_000_000
-
 
 def write_csv(df: DataFrame | None, path: str, sep=",", encoding="UTF-8") -> bool:
     """Overwrite ``path`` with CSV part files; nothing is written for ``None``."""
@@ -28,14 +26,8 @@ def write_csv(df: DataFrame | None, path: str, sep=",", encoding="UTF-8") -> boo
     return True
 
 
-def write_single_csv(df: DataFrame, path: str, max_rows=SINGLE_FILE_ROWS) -> None:
-    """One CSV part file, for results small enough for one task.
-
-    A table above ``max_rows`` is refused, not cut: use :func:`write_csv`.
-    """
-    rows = df.count()
-    if rows > max_rows:
-        raise ValueError(f"{rows} rows exceed the single-file limit of {max_rows}; write a directory instead")
+def write_single_csv(df: DataFrame, path: str) -> None:
+    """One CSV part file, which one task writes; :func:`write_csv` writes in parallel."""
     df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 
@@ -56,13 +48,13 @@ def write_predictions_tsv(df: DataFrame, path: str, **columns) -> None:
 
 
 def write_error_paths(df: DataFrame, path: str, path_col="path", true_col="label_id", pred_col="prediction") -> bool:
-    """Paths of wrong predictions, one per line; no output when there are none."""
+    """Paths of wrong predictions, one per line; whether there are any.
+
+    The target is overwritten in any case, so that no earlier run's paths stay.
+    """
     wrong = df.filter(F.col(true_col) != F.col(pred_col)).select(F.col(path_col).alias("value"))
-    if wrong.isEmpty():
-        log.info("no wrong predictions")
-        return False
     wrong.write.mode("overwrite").text(path)
-    return True
+    return not df.sparkSession.read.text(path).isEmpty()
 
 
 def batch_rows(df: DataFrame, path_col="path", true_col="true_label", pred_col="predicted",
@@ -72,13 +64,15 @@ def batch_rows(df: DataFrame, path_col="path", true_col="true_label", pred_col="
 
 
 def write_batch_predictions(df: DataFrame, path: str, wrong_path: str) -> bool:
-    """All predictions, and those that differ from the inferred label when any do."""
+    """All predictions, and those that differ from the inferred label; whether any do.
+
+    Both targets are overwritten, the second also when nothing is wrong.
+    """
     rows = batch_rows(df)
     write_csv(rows, path)
     wrong = rows.filter((F.col("status") == "ok") & (F.col(INFERRED_TRUE) != F.col(PRED)))
-    if wrong.isEmpty():
-        return False
-    return write_csv(wrong, wrong_path)
+    write_csv(wrong, wrong_path)
+    return not df.sparkSession.read.schema(wrong.schema).option("header", True).csv(wrong_path).isEmpty()
 
 
 def write_label_predictions(df: DataFrame, path: str, label_col: str, pred_col="prediction") -> None:
@@ -114,13 +108,3 @@ def write_partitioned(df: DataFrame, path: str, *by: str, rebalance=True) -> Non
 def pending(inputs: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """Inputs whose key has not been written yet."""
     return inputs.join(done.select(key), key, "left_anti")
-
-
-def write_image_files(df: DataFrame, path: str, content_col="content", label_col="label") -> None:
-    """One file per row in ``label=<class>`` directories.
-
-    The text sink stores the bytes unchanged and adds a newline, which image
-    decoders ignore. For tools that need files; Parquet is the better store.
-    """
-    (df.select(F.col(content_col).cast("string").alias("value"), F.col(label_col).alias("label"))
-     .write.mode("overwrite").option("maxRecordsPerFile", 1).partitionBy("label").text(path))

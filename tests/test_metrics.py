@@ -1,7 +1,6 @@
 import math
 
 import pytest
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from terrasift.functions import labels, vectors
@@ -39,10 +38,19 @@ def test_absent_label_fills_with_zero(spark):
         metrics.confusion_counts(df, "t", "absent")
 
 
-def test_too_many_labels_fail_instead_of_being_cut(spark):
-    df = spark.range(metrics.MAX_LABELS + 5).select(F.col("id").cast("string").alias("t"), F.lit("x").alias("p"))
-    with pytest.raises(PySparkException, match="labels"):
-        metrics.confusion_matrix(df, "t", "p").collect()
+def test_any_number_of_labels(spark):
+    df = spark.range(3000).select(F.col("id").cast("string").alias("t"), F.lit("x").alias("p"))
+    assert metrics.label_universe(df, "t", "p", []).count() == 3001
+    cells = metrics.heatmap_cells(df, "t", "p", []).collect()
+    order = sorted([*map(str, range(3000)), "x"])
+    assert {(r["y"], r["x"]) for r in cells} == {(order.index(str(k)), order.index("x")) for k in range(3000)}
+
+
+def test_square_pivot(spark):
+    df = spark.createDataFrame([("a", "b"), ("a", "c"), ("b", "b"), (None, "b")], "t string, p string")
+    square = metrics.confusion_pivot(df, "t", "p", ["z"])
+    assert square.columns == ["true_label", "a", "b", "c", "z"]
+    assert {tuple(r) for r in square.collect()} == {("a", 0, 1, 1, 0), ("b", 0, 1, 0, 0), ("c", 0, 0, 0, 0), ("z", 0, 0, 0, 0)}
 
 
 def test_within_threshold(spark):

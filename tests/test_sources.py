@@ -84,9 +84,6 @@ def test_sinks(spark, tmp_path):
     assert _rows(tables.read_csv(spark, str(tmp_path / "x"), df.schema).na.fill("-")) == [(1, "a"), (2, "-")]
     sinks.write_single_csv(df, str(tmp_path / "one"))
     assert len(list((tmp_path / "one").glob("part-*"))) == 1
-    with pytest.raises(ValueError, match="single-file limit"):
-        sinks.write_single_csv(df, str(tmp_path / "two"), max_rows=1)
-    assert not (tmp_path / "two").exists()
 
 
 def test_prediction_sinks(spark, tmp_path):
@@ -98,7 +95,8 @@ def test_prediction_sinks(spark, tmp_path):
         "图像路径\t真实值\t预测值", "r/Flood/1.jpg\tFlood\tFlood", "r/Flood/2.jpg\tFlood\tCyclone", "r/Flood/3.jpg\tFlood\t未知(9)"}
     assert sinks.write_error_paths(df, str(tmp_path / "err"))
     assert {r[0] for r in spark.read.text(str(tmp_path / "err")).collect()} == {"r/Flood/2.jpg", "r/Flood/3.jpg"}
-    assert not sinks.write_error_paths(df.limit(1), str(tmp_path / "noerr")) and not (tmp_path / "noerr").exists()
+    assert not sinks.write_error_paths(df.limit(1), str(tmp_path / "err"))  # and nothing of the last run stays
+    assert spark.read.text(str(tmp_path / "err")).count() == 0
 
 
 def test_batch_prediction_files(spark, tmp_path):
@@ -109,7 +107,8 @@ def test_batch_prediction_files(spark, tmp_path):
     assert tables.read_csv(spark, str(tmp_path / "a")).count() == 3
     wrong = tables.read_csv(spark, str(tmp_path / "w"))
     assert wrong.columns == ["图像路径", "真实标签(推断)", "预测值", "置信度", "status"] and wrong.first()[0] == "p2"
-    assert not sinks.write_batch_predictions(df.filter("path = 'p1'"), str(tmp_path / "b"), str(tmp_path / "v"))
+    assert not sinks.write_batch_predictions(df.filter("path = 'p1'"), str(tmp_path / "b"), str(tmp_path / "w"))
+    assert spark.read.schema(wrong.schema).csv(str(tmp_path / "w"), header=True).count() == 0
 
 
 def test_quarantine_and_pending(spark, tmp_path):
