@@ -49,10 +49,15 @@ def _shingles(rows: DataFrame, length: int, made: Column, name: str, keys: list[
     return full.select(*keys, "words", at.alias("at")).select(*keys, made.alias(name))
 
 
+def _items(benchmark: DataFrame) -> DataFrame:
+    """(item_id, item, words): items with equal words share the digest ``item``."""
+    rows = benchmark.select("item_id", words(F.lower("text")).alias("words")).filter(F.size("words") > 0)
+    return rows.select("item_id", F.xxhash64(F.array_join("words", " ")).alias("item"), "words")
+
+
 def item_shingles(benchmark: DataFrame) -> DataFrame:
-    """Staged distinct shingles of the distinct items: item (least item_id), length, shingle, hash, size."""
-    items = benchmark.select("item_id", words(F.lower("text")).alias("words")).filter(F.size("words") > 0)
-    items = items.groupBy("words").agg(F.min("item_id").alias("item"))
+    """Staged distinct shingles of the items: item (digest of its words), length, shingle, hash, size."""
+    items = _items(benchmark).select("item", "words").dropDuplicates(["item"])
     parts = []
     for length in range(1, SHINGLE + 1):
         own = items.filter(F.size("words") >= SHINGLE if length == SHINGLE else F.size("words") == length)
@@ -96,9 +101,9 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
             hits = probes.join(F.broadcast(part), "hash").select("doc_id", "text_key", "hash", "length").distinct()
             candidates = hits if candidates is None else candidates.unionByName(hits)
     if candidates is None:
-        return documents.select("doc_id").limit(0).join(
-            benchmark.select("item_id", F.lit(0).cast("long").alias("n_shingles"), F.lit(0).cast("long").alias("n_found"),
-                             F.lit(0.0).alias("containment")).limit(0), F.lit(True))
+        kinds = [documents.schema["doc_id"].dataType.simpleString(), benchmark.schema["item_id"].dataType.simpleString()]
+        return documents.sparkSession.createDataFrame(
+            [], f"doc_id {kinds[0]}, item_id {kinds[1]}, n_shingles long, n_found long, containment double")
     pairs = staged(candidates.join(shingles.select("item", "length", "hash"), ["length", "hash"])
                    .select("doc_id", "text_key", "item", "length").distinct(), "candidates")
     # Exact verification, on the candidate documents alone.
@@ -116,8 +121,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         counts = found if counts is None else counts.unionByName(found)
     counts = counts.filter(F.col("n_found") * 100 >= F.col("size") * PERCENT)
     best = counts.groupBy("doc_id", "item").agg(F.max("n_found").alias("n_found"), F.max("size").alias("n_shingles"))
-    members = benchmark.select("item_id", words(F.lower("text")).alias("words")).filter(F.size("words") > 0)
-    members = members.join(members.groupBy("words").agg(F.min("item_id").alias("item")), "words").select("item_id", "item")
+    members = _items(benchmark).select("item_id", "item").distinct()
     return best.join(members, "item").select(
         "doc_id", "item_id", "n_shingles", "n_found", (F.col("n_found") / F.col("n_shingles")).alias("containment"))
 
