@@ -7,11 +7,13 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from terrasift.functions import labels
-from terrasift.operators import classify, metrics, pixels, splits
-from terrasift.registry import IMAGE_CLASSES
+from terrasift.operators import classify, metrics, models, pixels, splits
+from terrasift.registry import IMAGE_CLASSES, UNKNOWN_LABEL
 from terrasift.session import stage_table
 from terrasift.sources import images, sinks
 
+FAILED = "Error"  # predicted class of an image that could not be classified
+
 
 def preprocess_folder(spark: SparkSession, source: str, target: str, options=pixels.ImageOptions(),
                       done: DataFrame | None = None) -> DataFrame:
@@ -61,6 +63,32 @@ def classify_images(features: DataFrame, model, classes=IMAGE_CLASSES, label_mod
         F.lit("ok").alias("status"))
 
 
+def predict_folder(spark: SparkSession, source: str, model, target: str,
+                   options=pixels.ImageOptions(feature_size=pixels.FEATURE_SIZE), classes=IMAGE_CLASSES,
+                   label_mode="parent_dir") -> tuple:
+    """Classify every image of a folder with a fitted or saved model.
+
+    ``model`` is a model or the path of one. Files that cannot be decoded or
+    processed stay in the result as error rows. Writes all predictions
+    (tab-separated) and the paths of the wrong ones below ``target`` and returns
+    ``(predictions, accuracy)``, both DataFrames.
+    """
+    fitted = models.load_model(model) if isinstance(model, str) else model
+    decoded = images.scan_images(spark, source, keep_invalid=True)
+    ready = pixels.preprocess(decoded.filter("height > 0"), replace(options, keep_pixels=False))
+    ready = stage_table(ready.select("path", "status", "features"), "image-features")
+    failed = decoded.filter("height <= 0").select("path").unionByName(ready.filter("status <> 'ok'").select("path"))
+    errors = failed.select(
+        "path", labels.label_from_path(F.col("path"), classes, label_mode).alias("true_label"),
+        F.lit(FAILED).alias("predicted"), F.lit(None).cast("double").alias("confidence"), F.lit("error").alias("status"))
+    scored = classify_images(ready.filter("status = 'ok'"), fitted, classes, label_mode)
+    rows = stage_table(scored.unionByName(errors), "predictions")
+    sinks.write_csv(sinks.batch_rows(rows), f"{target}/predictions", sep="\t")
+    judged = rows.filter((F.col("status") == "ok") & (F.col("true_label") != UNKNOWN_LABEL))
+    sinks.write_error_paths(judged, f"{target}/wrong_paths", true_col="true_label", pred_col="predicted")
+    return rows, metrics.accuracy_known(rows, "true_label", "predicted", "status")
+
+
 def report(predictions: DataFrame, classes=IMAGE_CLASSES) -> dict:
     """Accuracy, confusion cells and wrong rows of a prediction table."""
     return {

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from terrasift.operators import pixels
+from terrasift.operators import models, pixels
 from terrasift.plans import imagery
 from terrasift.sources import images
 from terrasift.streaming import incremental
@@ -104,6 +104,24 @@ def test_classifier_tells_bright_from_dark(spark):
     assert named.filter("true_label = predicted").count() == 10
 
 
+def test_prediction_job_with_broken_files(spark, image_tree, tmp_path):
+    rows = [(f"r/{'Flood' if i % 2 else 'Cyclone'}/{i}.png", i % 2, 4, 4, 3,
+             bytearray(((200 if i % 2 else 20) + (7 * i + k) % 30) for k in range(48))) for i in range(40)]
+    table = spark.createDataFrame(rows, "path string, label_id int, height int, width int, channels int, data binary")
+    options = pixels.ImageOptions(steps=("blur",), feature_size=4)
+    model, _ = imagery.train_classifier(table, options, max_iter=20)
+    models.save_model(model, str(tmp_path / "model"))
+    got, accuracy = imagery.predict_folder(spark, image_tree, str(tmp_path / "model"), str(tmp_path / "out"), options, ["Cyclone", "Flood"])
+    by_name = {r["path"].rsplit("/", 1)[1]: r for r in got.collect()}
+    assert {n: r["status"] for n, r in by_name.items()} == {"a.png": "ok", "b.png": "ok", "c.png": "ok", "bad.jpg": "error"}
+    assert by_name["bad.jpg"]["predicted"] == "Error" and by_name["bad.jpg"]["confidence"] is None
+    wrong = {n for n, r in by_name.items() if r["status"] == "ok" and r["true_label"] != r["predicted"]}
+    assert {r[0].rsplit("/", 1)[1] for r in spark.read.text(str(tmp_path / "out/wrong_paths")).collect()} == wrong
+    assert accuracy.first()["known"] == 3 and accuracy.first()["accuracy_pct"] == pytest.approx(100 * (3 - len(wrong)) / 3)
+    written = spark.read.option("header", True).option("sep", "\t").csv(str(tmp_path / "out/predictions"))
+    assert written.count() == 4 and written.columns[0] == "图像路径"
+
+
 def test_resize_weights():
     for size_in, size_out in ((8, 16), (16, 8), (7, 7), (5, 13)):
         assert np.allclose(pixels.triangle_weights(size_in, size_out).sum(axis=1), 1)
