@@ -5,9 +5,10 @@ from __future__ import annotations
 import logging
 import math
 from contextlib import contextmanager
+from multiprocessing.pool import ThreadPool
 
 from py4j.protocol import Py4JJavaError
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
@@ -142,26 +143,32 @@ def fit_features(train: DataFrame, columns, pca_k=None, **options) -> PipelineMo
         return Pipeline(stages=feature_stages(columns, pca_k, **options)).fit(rows)
 
 
-def leaderboard(train: DataFrame, test: DataFrame, models: dict, label: str, key_cols, folds=3) -> DataFrame:
-    """RMSE and within-threshold accuracy of each model on ``test``.
+def leaderboard(train: DataFrame, test: DataFrame, models: dict, label: str, key_cols, folds=3,
+                parallelism=CV_PARALLELISM) -> DataFrame:
+    """RMSE, within-threshold accuracy and chosen parameters of each model, measured on ``test``.
 
     A model that fails gets an infinite RMSE, accuracy 0 and the reason; the
-    others are still compared. Both tables need a ``features`` vector.
+    others are still compared. Both tables need a ``features`` vector. The
+    models do not depend on each other and are fitted side by side.
     """
     spark = train.sparkSession
-    rows = []
     train = with_folds(train, key_cols, folds)
     with training_rows(train, ["features", label, FOLD]) as train, training_rows(test, ["features", label]) as test:
-        for name, (estimator, values) in models.items():
+        def compare(entry):
+            name, (estimator, values) = entry
             try:
                 fitted = (_validate(train, estimator, values, label, folds).bestModel if values
                           else estimator.fit(train))
-                report = metrics.regression_report(fitted.transform(test), label).first()
-                rows.append((name, report["rmse"], report["accuracy"], "ok"))
+                chosen = ", ".join(f"{p}={fitted.getOrDefault(p)}" for p in sorted(values))
+                row = metrics.regression_report(fitted.transform(test), label).first()
+                return name, row["rmse"], row["accuracy"], chosen, "ok"
             except (PySparkException, Py4JJavaError, ValueError) as err:
                 log.exception("model %s failed", name)
-                rows.append((name, math.inf, 0.0, f"failed: {type(err).__name__}"))
-    return spark.createDataFrame(rows, "model string, rmse double, accuracy double, status string")
+                return name, math.inf, 0.0, "", f"failed: {type(err).__name__}"
+
+        with ThreadPool(min(parallelism, max(1, len(models)))) as pool:
+            rows = pool.map(inheritable_thread_target(spark)(compare), list(models.items()))
+    return spark.createDataFrame(rows, "model string, rmse double, accuracy double, params string, status string")
 
 
 def train_and_score_all(df: DataFrame, spec: DatasetSpec, key_cols=None, trees=APP_TREES, **params) -> tuple:
