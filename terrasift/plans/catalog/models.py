@@ -8,8 +8,9 @@ from terrasift.operators import classify, features, metrics, splits
 from terrasift.operators import models as ops
 from terrasift.plans import tabular
 from terrasift.plans.catalog import query, table
-from terrasift.registry import DatasetSpec
+from terrasift.registry import DatasetSpec, dataset
 from terrasift.session import scratch_path
+from terrasift.sources import sinks
 
 KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 MEASURES = ["l_quantity", "l_discount", "l_tax"]
@@ -207,6 +208,20 @@ def holdout_rmse(spark, folder):
     return ops.train_and_score_all(_orders(spark, folder), ORDERS, ["o_orderkey"])[1]
 
 
+@query("train_registered_dataset", """
+SELECT count(*) AS rows, count(*) AS scored, round(sum(l_extendedprice / 10000), 2) AS label_total FROM lineitem WHERE l_quantity <> 7""")
+def train_registered_dataset(spark, folder):
+    """A catalogue-shaped CSV, trained on by its registered name; rows with a gap are left out, all others scored."""
+    spec = dataset("GSN_Earthquake_Catalog")
+    depth = F.when(F.col("l_quantity") != 7, F.col("l_quantity"))
+    values = [depth, F.col("l_discount") * 50, F.col("l_tax") * 90, F.col("l_linenumber"), F.col("l_partkey") % 9, F.col("l_extendedprice") / 10000]
+    target = scratch_path(spark, "catalogue")
+    rows = table(spark, folder, "lineitem").select("l_orderkey", *[v.alias(c) for v, c in zip(values, [*spec.features, spec.label])])
+    sinks.write_csv(rows, target)
+    scored, _ = tabular.train_dataset(spark, spec.name, target, trees=20, maxDepth=4)
+    return scored.agg(F.count("*").alias("rows"), F.count("prediction").alias("scored"), F.round(F.sum(f"`{spec.label}`"), 2).alias("label_total"))
+
+
 CALENDAR = DatasetSpec("orders", ["month", "weekday"], "o_totalprice")
 
 HELD_OUT = f"""

@@ -55,11 +55,12 @@ def compare_models(df: DataFrame, spec: DatasetSpec, key_cols=None, candidates=N
 def train_dataset(spark: SparkSession, name: str, path: str, key_cols=None, target: str | None = None, **params) -> tuple:
     """Train on a file of a registered dataset: ``(predictions, rmse)``.
 
-    The file's encoding and separator are settled first; with ``target`` the
-    label and prediction of every row are written as CSV.
+    The file's encoding and separator are settled first. Types are not inferred:
+    the registry names the numbers that training needs. With ``target`` the label
+    and prediction of every row are written as CSV.
     """
     spec = dataset(name)
-    df = headers.clean_headers(sniff.read_delimited(spark, path))
+    df = headers.clean_headers(sniff.read_delimited(spark, path, infer=False))
     columns = headers.resolve_columns(spec.features, df.columns)
     actual = DatasetSpec(spec.name, columns, spec.label, spec.pca_k, spec.folds)
     scored, rmse = models.train_and_score_all(df, actual, key_cols, **params)

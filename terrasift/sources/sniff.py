@@ -91,8 +91,8 @@ def read_delimited(spark: SparkSession, path: str, delimiter=None, skiprows=0, n
     order = [encoding] + [e for e in ENCODINGS if e != encoding]
     found = sniff(spark, path, delimiter, skiprows, order)
     charset = SPARK_CHARSET.get(found.encoding, found.encoding)
-    if charset == "GBK":
-        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+    if charset == "GBK" and spark.conf.get("spark.sql.legacy.javaCharsets", "false") != "true":
+        raise ValueError("GBK files need a session with spark.sql.legacy.javaCharsets=true, as build_session makes it")
     if skiprows == 0 and found.separator != r"\s+":
         df = (spark.read.option("header", names is None).option("sep", found.separator)
               .option("encoding", charset).option("inferSchema", infer).csv(path))
@@ -111,21 +111,20 @@ def read_delimited(spark: SparkSession, path: str, delimiter=None, skiprows=0, n
 
 
 def _body_lines(spark, path, charset, skip):
-    """Decoded lines after the first ``skip``.
+    """Decoded lines after the first ``skip`` of every file.
 
-    Row numbers within the task that holds byte 0 are line numbers, so the
-    leading lines can be dropped without numbering the whole file.
+    The lines of a file's first block have consecutive ids, so a line's place
+    follows from the least id of its file; nothing is numbered or sorted.
     """
-    lines = spark.read.text(path)
-    if skip and len(lines.inputFiles()) != 1:
-        raise ValueError("leading lines can only be skipped in a single file")
-    position = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     raw = F.col("value").cast("binary")
     text = F.col("value") if charset == "UTF-8" else F.decode(raw, charset)
-    return (lines.select(text.alias("line"), position.alias("pos"),
-                         F.col("_metadata.file_block_start").alias("block"))
-            .filter((F.col("block") > 0) | (F.col("pos") >= skip))
-            .filter(F.length(F.trim(F.col("line"))) > 0).select("line"))
+    lines = spark.read.text(path).select(
+        text.alias("line"), F.monotonically_increasing_id().alias("id"), F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"))
+    if skip:
+        starts = lines.filter("block = 0").groupBy("file").agg(F.min("id").alias("start"))
+        lines = lines.join(starts, "file").filter((F.col("block") > 0) | (F.col("id") - F.col("start") >= skip))
+    return lines.filter(F.length(F.trim(F.col("line"))) > 0).select("line")
 
 
 def settle_types(df: DataFrame) -> DataFrame:

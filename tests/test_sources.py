@@ -139,3 +139,11 @@ def test_registry():
         registry.dataset("nope")
     assert len(registry.dataset_names()) == 4
     assert len(registry.dataset("Strong_Motion_Parameters_Dataset").features) == 12
+
+
+def test_leading_lines_of_every_part_file(spark, tmp_path):
+    for k in range(5):
+        (tmp_path / f"part-{k}.txt").write_text("note\nk  w\n" + "".join(f"{10 * k + i}  {i}.5\n" for i in range(30)))
+    df = sniff.read_delimited(spark, str(tmp_path), skiprows=1)
+    assert df.columns == ["k", "w"]
+    assert sorted(_rows(df)) == sorted((10 * k + i, i + 0.5) for k in range(5) for i in range(30))
