@@ -87,7 +87,7 @@ class Page:
             if fresh or not self.runs:
                 self.runs.append([node, [], 0])
                 fresh = False
-            self.runs[-1][1].append(text)
+            self.runs[-1][1].append(html.unescape(text) if "&" in text else text)
             if links:
                 self.runs[-1][2] += len(text)
 
@@ -164,7 +164,7 @@ class Page:
         if hidden not in RAW:
             add(source[at:])
         for run in self.runs:
-            run[1] = " ".join(html.unescape("".join(run[1])).split())
+            run[1] = " ".join("".join(run[1]).split())
 
     def features(self) -> list[list[float]]:
         """One row for each node."""
