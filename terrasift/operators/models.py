@@ -37,6 +37,7 @@ CV_PARALLELISM = 4
 # End of fixed values.
 
 FOLD = "_fold"
+TRAINING_ROWS = 20_000
 
 
 def linear(label, features="features", **params):
@@ -77,12 +78,14 @@ def candidates(label, features="features", boost_params=None) -> dict:
 def training_rows(df: DataFrame, columns, partitions=None):
     """Only the columns a fit reads, cached while it iterates.
 
-    Rows are dealt by their hash into ``partitions`` (the shuffle partitions, if
-    not given): forests seed their draws per partition, so a fit must not depend
-    on the number of cores or on how files were split.
+    Rows are dealt by their hash into ``partitions`` (by default one for every
+    ``TRAINING_ROWS`` rows, up to the larger of 200 and the shuffle partitions):
+    forests seed their draws per partition, so a fit must not depend on the
+    number of cores or on how files were split.
     """
     chosen = [quoted(c) for c in columns]
-    partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    most = max(200, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    partitions = partitions or min(most, max(1, -(-df.count() // TRAINING_ROWS)))
     rows = df.select(*chosen).repartition(partitions, *chosen).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield rows
