@@ -2,7 +2,7 @@
 
 A gear hash rolls over the words of a text: each step shifts it by ``SHIFT`` bits
 and adds the word's gear, so it depends on the last ``ROLL`` words alone. A cut
-falls where the hash is the least of ``SPREAD`` neighbouring positions. Cuts thus
+falls where the hash is the least of some ``SPREAD`` neighbouring positions. Cuts thus
 move with the text when something is inserted before them, chunks between cuts
 vary from 1 to ``SPREAD`` words, and any passage of ``PASSAGE`` words has a cut
 whose whole roll lies inside it. A chunk's digest is that of the roll that closes
@@ -23,8 +23,6 @@ count code points, end exclusive. Other columns are not read.
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -36,13 +34,13 @@ from terrasift.llm.common import staged
 SHIFT, ROLL = 2, 32   # 64 bits shifted by two forget a word after 32 steps
 PASSAGE = 50
 SPREAD = PASSAGE - ROLL + 1
-WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+BLANK = np.isin(np.arange(256), np.frombuffer(b" \t\n\x0b\f\r", np.uint8))
 
 
 def word_bounds(raw: bytes) -> np.ndarray:
     """Byte offsets (start, end) of the words, one row each."""
-    spans = [m.span() for m in WORD.finditer(raw)]
-    return np.array(spans, np.int64).reshape(-1, 2)
+    edges = np.flatnonzero(np.diff(~BLANK[np.frombuffer(raw, np.uint8)], prepend=False, append=False))
+    return edges.reshape(-1, 2)
 
 
 def code_points(raw: bytes, at: np.ndarray) -> np.ndarray:
@@ -63,14 +61,24 @@ def gear_hashes(gears: np.ndarray) -> np.ndarray:
     return out
 
 
+def _extreme(values: np.ndarray, width: int, pick) -> np.ndarray:
+    """Least or largest of each ``width`` neighbours, by doubling the span compared."""
+    span = 1
+    while span * 2 <= width:
+        values, span = pick(values[:-span], values[span:]), span * 2
+    rest = width - span
+    return pick(values[:-rest], values[rest:]) if rest else values
+
+
 def cuts(gears: np.ndarray) -> np.ndarray:
-    """Positions of the words that close a chunk."""
+    """Positions of the words that close a chunk: those least among some ``SPREAD`` neighbours."""
     if len(gears) < PASSAGE:
         return np.empty(0, np.int64)
     hashes = gear_hashes(gears)[ROLL - 1:]
-    views = np.lib.stride_tricks.sliding_window_view(hashes, SPREAD)
-    least = np.concatenate([views[k:k + 16_384].argmin(axis=1) for k in range(0, len(views), 16_384)])
-    return np.unique(least + np.arange(len(views))) + ROLL - 1
+    least = _extreme(hashes, SPREAD, np.minimum)
+    around = np.zeros(len(least) + 2 * (SPREAD - 1), np.uint64)
+    around[SPREAD - 1:SPREAD - 1 + len(least)] = least
+    return np.flatnonzero(_extreme(around, SPREAD, np.maximum) == hashes) + ROLL - 1
 
 
 def _keyed(documents: DataFrame) -> DataFrame:
@@ -90,18 +98,15 @@ def chunk_cuts(documents: DataFrame) -> DataFrame:
             for text in texts.to_pylist():
                 raw = text.encode()
                 found = raw.split()
-                values = np.empty(len(found), np.uint64)
-                for k, word in enumerate(found):
-                    gear = gears.get(word)
-                    if gear is None:
-                        gear = gears[word] = xxhash.xxh64_intdigest(word, 1)
-                    values[k] = gear
-                last = cuts(values)
+                for word in set(found):
+                    if word not in gears:
+                        gears[word] = xxhash.xxh64_intdigest(word, 1)
+                last = cuts(np.fromiter(map(gears.__getitem__, found), np.uint64, len(found)))
                 count.append(len(last))
                 if len(last):
                     bounds = word_bounds(raw)
                     joined = b" ".join(found)
-                    ends = np.cumsum([len(w) + 1 for w in found]) - 1
+                    ends = np.cumsum(bounds[:, 1] - bounds[:, 0] + 1) - 1
                     starts = np.concatenate([[0], ends[:-1] + 1])
                     digests = [xxhash.xxh64_intdigest(joined[starts[k - ROLL + 1]:ends[k]], 7) for k in last]
                     for column, part in zip(out, (np.array(digests, np.uint64).view(np.int64), last,
@@ -154,7 +159,7 @@ def passage_windows(documents: DataFrame, around: DataFrame) -> DataFrame:
                 first = sorted({k for c in at for k in range(max(0, c - PASSAGE + 1), min(c - ROLL + 1, len(found) - PASSAGE) + 1)})
                 if not first:
                     continue
-                joined, ends = b" ".join(found), np.cumsum([len(w) + 1 for w in found]) - 1
+                joined, ends = b" ".join(found), np.cumsum(bounds[:, 1] - bounds[:, 0] + 1) - 1
                 starts = np.concatenate([[0], ends[:-1] + 1])
                 digests = np.array([xxhash.xxh64_intdigest(joined[starts[k]:ends[k + PASSAGE - 1]], 7) for k in first], np.uint64)
                 first = np.array(first)
