@@ -212,7 +212,8 @@ def keep_first(documents: DataFrame, **settings) -> DataFrame:
     firsts = staged(firsts.withColumnRenamed("doc_id", "_first"), "firsts")
     rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("_row"))
     first = F.col("_row.doc_id") == F.col("_first")
-    kept = rows.join(firsts.filter("_n = 1"), first, "left_semi")
+    # The ids kept grow with the documents, so they are joined by shuffle at every size.
+    kept = rows.join(firsts.filter("_n = 1").hint("merge"), first, "left_semi")
     if firsts.filter("_n > 1").take(1):
         again = rows.join(firsts.filter("_n > 1"), first, "left_semi")
         kept = kept.unionByName(again.withColumn("_id", F.col("_row.doc_id")).dropDuplicates(["_id"]).select("_row"))
