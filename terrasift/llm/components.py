@@ -8,17 +8,26 @@ from pyspark.sql import functions as F
 from terrasift.llm.common import staged
 
 
+SALTS = 16  # parts into which the links of one vertex are dealt where they meet its least neighbour
+
+
+def _with_least(links: DataFrame, least: DataFrame) -> DataFrame:
+    """Each link (a, b) beside the least neighbour ``m`` of ``a``, a hot ``a`` dealt over several tasks."""
+    salted = links.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)))
+    every = least.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return salted.join(every, ["a", "salt"]).select(F.col("b").alias("a"), F.col("m").alias("b"))
+
+
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    return both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return _with_least(both.filter("b > a"), least)
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     down = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = down.groupBy("a").agg(F.min("b").alias("m"))
-    return down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(
-        least.select("a", F.col("m").alias("b")))
+    return _with_least(down, least).unionByName(least.select("a", F.col("m").alias("b")))
 
 
 def components(links: DataFrame) -> DataFrame:
