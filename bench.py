@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -27,9 +28,10 @@ def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     from terrasift.plans.catalog import QUERIES
-    from terrasift.session import build_session
+    from terrasift.session import build_session, clear_scratch
 
-    spark = build_session("bench", master=f"local[{cpus}]", shuffle_partitions=cpus, extra={
+    spark = build_session("bench", master=f"local[{cpus}]", shuffle_partitions=cpus,
+                          checkpoint_dir=tempfile.mkdtemp(prefix="bench-"), extra={
         "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": os.environ.get("BENCH_MEMORY", "16g")})
     spark.sparkContext.setLogLevel("ERROR")
@@ -45,6 +47,7 @@ def main() -> None:
         start = time.perf_counter()
         QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - start, 3)
+    clear_scratch(spark)
     spark.stop()
     scale = os.path.basename(folder.rstrip("/")).removeprefix("sf")
     print(json.dumps({"metric": "total_query_seconds", "value": round(sum(seconds.values()), 3), "unit": "sec",
