@@ -304,9 +304,11 @@ def training_variants(source: str, other: str, seed: int) -> list[str]:
 
 def training_rows(pages: DataFrame) -> DataFrame:
     """(features, label) of the nodes of the training pages and their variants."""
-    marked = pages.filter(F.col("html").rlike(r"(?i)<(article|main)\b")).select("url", "html").distinct()
-    # Bounded by TRAINING_PAGES; the first page stands next to the last, so that each has another's text.
-    chosen = staged(marked.orderBy(F.xxhash64("url", "html"), "url", "html").limit(TRAINING_PAGES).select("html"), "training-pages")
+    marked = pages.filter(F.col("html").rlike(r"(?i)<(article|main)\b")).select("url", "html")
+    # Bounded by TRAINING_PAGES, of which each task sends its first; repeated pages among them count once.
+    first = marked.orderBy(F.xxhash64("url", "html"), "url", "html").limit(TRAINING_PAGES).distinct()
+    # The first page stands next to the last, so that each has another's text.
+    chosen = staged(first.orderBy(F.xxhash64("url", "html"), "url", "html").coalesce(1).select("html"), "training-pages")
 
     def run(batches):
         for batch in batches:
