@@ -46,8 +46,9 @@ PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 INLINE = set("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub "
              "sup time tt u var acronym".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = set("script style template noscript head title svg math iframe object canvas audio video textarea".split())
-RAW = set("script style textarea title iframe noscript template".split())
+HIDDEN = set("script style template noscript title svg math iframe object canvas audio video textarea".split())
+RAW = set("script style textarea title iframe noscript".split())
+RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I) for name in RAW}
 CLOSE_LIKE = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
               "option": {"option"}}
 SCOPES = set("ul ol dl table tbody thead tfoot select html body article section div main".split())
@@ -91,11 +92,9 @@ class Page:
             if links:
                 self.runs[-1][2] += len(text)
 
-        for m in TOKEN.finditer(source):
-            if hidden in RAW:  # nothing but its own end tag counts
-                if not ((m[1] or m[4]) and (m[2] or m[5]).lower() == hidden):
-                    continue
-            elif m.start() > at:
+        found_tokens = TOKEN.finditer(source)
+        while m := next(found_tokens, None):
+            if m.start() > at:
                 add(source[at:m.start()])
             at = m.end()
             name = m[2] or m[5]
@@ -103,9 +102,15 @@ class Page:
                 continue
             name = name.lower()
             closing, rest = (m[1], m[3]) if m[2] else (m[4], m[6])
+            if name in RAW and not closing:
+                if not rest.endswith("/"):  # nothing but its own end tag counts
+                    end = RAW_END[name].search(source, at)
+                    at = end.end() if end else len(source)
+                    found_tokens = TOKEN.finditer(source, at)
+                continue
             if hidden:
                 if name == hidden:
-                    depth += -1 if closing else (0 if rest.endswith("/") or hidden in RAW else 1)
+                    depth += -1 if closing else (0 if rest.endswith("/") else 1)
                     if depth == 0:
                         hidden = None
                 continue
@@ -138,7 +143,7 @@ class Page:
                 stack.append((name, None))
                 links += name == "a"
                 continue
-            if name in ("html", "body"):
+            if name in ("html", "head", "body"):  # what a head may hold is hidden or void, so its end need not be found
                 continue
             likes = CLOSE_LIKE.get(name, ())
             for k in range(len(stack) - 1, 0, -1):  # a block ends an open paragraph; an item ends the item before
@@ -161,8 +166,7 @@ class Page:
                 node = above
             else:
                 stack.append((name, node))
-        if hidden not in RAW:
-            add(source[at:])
+        add(source[at:])
         for run in self.runs:
             run[1] = " ".join("".join(run[1]).split())
 
@@ -374,22 +378,22 @@ def extract_texts(pages: DataFrame, trees: Trees | None = None) -> DataFrame:
     trees = trees or fit_trees(pages)
 
     def run(batches):
-        for batch in batches:
-            texts: list[str] = []
-            sources = batch.column(2).to_pylist()
-            for low in range(0, len(sources), 256):
-                parsed = [Page(x or "") for x in sources[low:low + 256]]
+        for whole in batches:
+            for low in range(0, whole.num_rows, 256):  # each part is sent on before the next is parsed
+                batch = whole.slice(low, 256)
+                parsed = [Page(x or "") for x in batch.column(2).to_pylist()]
+                texts: list[str] = []
                 if trees is None:
-                    texts += [p.text(rule_odds(p)) for p in parsed]
-                    continue
-                rows = np.array([row for p in parsed for row in p.features()]).reshape(-1, N_FEATURES)
-                odds, at = trees.odds(rows).tolist(), 0
-                for p in parsed:
-                    texts.append(p.text(odds[at:at + len(p.tag)]))
-                    at += len(p.tag)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(x) for x in texts], pa.int64())],
-                ["page_id", "url", "text", "n_chars"])
+                    texts = [p.text(rule_odds(p)) for p in parsed]
+                else:
+                    rows = np.array([row for p in parsed for row in p.features()]).reshape(-1, N_FEATURES)
+                    odds, at = trees.odds(rows).tolist(), 0
+                    for p in parsed:
+                        texts.append(p.text(odds[at:at + len(p.tag)]))
+                        at += len(p.tag)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(x) for x in texts], pa.int64())],
+                    ["page_id", "url", "text", "n_chars"])
 
     kinds = {f.name: f.dataType.simpleString() for f in pages.schema}
     return pages.mapInArrow(run, f"page_id {kinds['page_id']}, url {kinds['url']}, text string, n_chars long")

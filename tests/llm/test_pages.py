@@ -71,6 +71,24 @@ def test_broken_markup():
         assert isinstance(Page(odd).text(rule_odds(Page(odd))), str)
 
 
+@pytest.mark.parametrize("before", [
+    "<html><head><title>t</title></head><body>",
+    "<html><head><title>t</title><meta charset=utf-8><body>",           # the end of head may be left out
+    "<head><title>t</title><link rel=x>",                               # and body as well
+    "<title>t</title>",
+    "<head><script>for(i=0;i<n;i++){x()}</script></head><body>",
+    "<head><script>if(a<b){s='it'}else{t=\"</head>\"}</script><body>",
+    "<head><style>a>b{content:'<q \"'}</style></head><body>",
+    "<head><title>a <b 'c</title><body>",
+    "<body><SCRIPT>x<!--y</Script >",
+    "<body><svg><style>a<b'</style><title>x<y</title></svg>",
+    "<body><template><template>x</template>y</template>",
+    "<body><textarea>a<b \"</textarea>"])
+def test_raw_elements_and_open_heads(before):
+    page = Page(before + "<p>one</p><script>for(i=0;i<n;i++){y('<p>')}</script><p>two</p>")
+    assert [t for _, t, _ in page.runs if t] == ["one", "two"]
+
+
 def test_odd_rows(spark):
     rows = spark.createDataFrame([(1, None, None, 1), (1, None, None, 1), (None, "u", "", 2), (2, "u", "plain text", 3), (3, "u", "<nav>x</nav><p>y</p>", 4)],
                                  "page_id long, url string, html string, text int")
