@@ -38,6 +38,7 @@ MARK = {"email": "@", "phone": "+"}  # a text without it has no such span
 PRIOR = {"email": 0.8, "ip": 0.6, "card": 0.4, "phone": 0.6, "iban": 0.3, "ssn": 0.4, "local": 0.4}
 WORDS = {"email": "mail|contact", "ip": "ip|host|server|address", "card": "card|visa|credit|payment", "phone": "phone|tel|call|fax|mobile",
          "iban": "iban|account|bank|konto", "ssn": "ssn|social|security", "local": "phone|tel|call|fax|mobile"}
+SHORTEST = {"email": 5, "ip": 7, "card": 1, "phone": 4, "iban": 15, "ssn": 11, "local": 12}  # characters of a match
 CONFIRMED, CONTEXT, LEAST, NEAR = 0.4, 0.3, 0.6, 40
 BLOCK = 512
 
@@ -103,10 +104,16 @@ def spans_of(kind: str, text: Column) -> Column:
     pattern, order = PATTERNS[kind], list(PATTERNS).index(kind)
     none = F.array().cast("array<struct<start:int,order:int,end:int,kind:string,score:double>>")
 
-    def spans(matches, pieces, at):
+    # So many neighbouring matches, with the pieces beside them, fill ``NEAR`` characters.
+    reach = 2 * -(-NEAR // SHORTEST[kind]) + 1
+
+    def spans(matches, heads, tails, at):
         def one(match, k):
-            # The text on both sides, up to the neighbouring matches.
-            near = F.lower(F.concat_ws(" ", F.right(pieces[k], F.lit(NEAR)), F.left(pieces[k + 1], F.lit(NEAR))))
+            # Match k is element 2k + 2 of the parts, counted from 1.
+            low = F.greatest(2 * k + 2 - reach, F.lit(1))
+            before = F.array_join(F.slice(tails, low, 2 * k + 2 - low), "")
+            after = F.array_join(F.slice(heads, 2 * k + 3, F.lit(reach)), "")
+            near = F.lower(F.concat_ws(" ", F.right(before, F.lit(NEAR)), F.left(after, F.lit(NEAR))))
             score = F.lit(PRIOR[kind] + (CONFIRMED if kind in ("card", "iban") else 0.0)) + F.when(
                 near.rlike(rf"(?<![a-z])({WORDS[kind]})"), F.lit(CONTEXT)).otherwise(F.lit(0.0))
             return F.when(valid(kind, match), F.struct(
@@ -118,7 +125,12 @@ def spans_of(kind: str, text: Column) -> Column:
 
     def build(matches):
         def cut(pieces):
-            return bound(starts(pieces, matches), lambda at: spans(matches, pieces, at))
+            # Pieces and matches in turn, of each only the ends that can stand within ``NEAR`` characters of another match.
+            def ends(side):
+                return F.flatten(F.transform(pieces, lambda piece, k: F.array(
+                    side(piece, F.lit(NEAR)), side(F.coalesce(F.get(matches, k), F.lit("")), F.lit(NEAR)))))
+            return bound(starts(pieces, matches), lambda at: bound(ends(F.left), lambda heads: bound(
+                ends(F.right), lambda tails: spans(matches, heads, tails, at))))
         return F.when(F.size(matches) == 0, none).otherwise(bound(F.split(text, pattern, -1), cut))
 
     present = F.contains(text, F.lit(MARK[kind])) if kind in MARK else F.col("has_digits")

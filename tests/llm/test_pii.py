@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 
+from terrasift.llm import pii
 from terrasift.llm.pii import find_personal_data, with_spans
 
 STATED = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
@@ -69,6 +70,37 @@ def test_many_spans_and_long_runs(spark, documents):
     check(find_personal_data(documents(texts)).collect(), dict(enumerate(texts)))
 
 
+def test_lists_behind_one_context_word(spark, documents):
+    texts = ["SSN: 123-45-6789, 987-65-4321", "Call 555-123-4567 or 555-987-6543", "555-123-4567, 555-987-6543 and 555-987-6544 fax",
+             "ssn" + " " * 37 + "123-45-6789", "ssn" + " " * 38 + "123-45-6789", "123-45-6789" + " " * 37 + "ssn 987-65-4321",
+             "ssn é🙂 123-45-6789,123-45-6780,123-45-6781,123-45-6782,123-45-6783"]
+    got = {r.doc_id: r.spans for r in find_personal_data(documents(texts)).collect()}
+    assert got[0] == "ssn:5:16,ssn:18:29" and got[1] == "local:5:17,local:21:33"
+    assert got[2] == "local:0:12,local:14:26,local:31:43"
+    assert got[3] == "ssn:40:51" and got[4] == "" and got[5] == "ssn:0:11,ssn:52:63"
+    assert got[6] == "ssn:7:18,ssn:19:30,ssn:31:42"
+
+
+def test_context_is_the_text_within_forty_characters(spark, documents):
+    rng = random.Random(6)
+    parts = ["123-45-6789", "555-123-4567", "4111 1111 1111 1111", "1", "22", "a", "ssn", "call", "card", "mail ", "x@y.z", "1.2.3.4", " ", ", ", "é", "🙂", "\n", "long words here"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 30))) for _ in range(400)]
+    for r in with_spans(documents(texts)).collect():
+        text = texts[r.doc_id]
+        for s in r.spans:
+            near = (text[max(0, s.start - pii.NEAR):s.start] + " " + text[s.end:s.end + pii.NEAR]).lower()
+            held = re.search(rf"(?<![a-z])({pii.WORDS[s.kind]})", near) is not None
+            want = pii.PRIOR[s.kind] + pii.CONFIRMED * (s.kind in ("card", "iban")) + pii.CONTEXT * held
+            assert abs(s.score - want) < 1e-9, (text, s)
+
+
+def test_texts_of_sixty_thousand_characters(spark, documents):
+    texts = ["1" * 60_000, "a" * 60_000, "1a" * 30_000, "ssn " + "123-45-6789 " * 5_000]
+    got = {r.doc_id: r.spans for r in find_personal_data(documents(texts)).collect()}
+    assert [got[k] for k in range(3)] == ["", "", ""]
+    assert [s for s in got[3].split(",") if s.startswith("ssn")] == ["ssn:4:15", "ssn:16:27", "ssn:28:39", "ssn:40:51"]
+
+
 def test_odd_rows(spark, odd_documents):
     rows = find_personal_data(odd_documents).collect()
     assert len(rows) == odd_documents.count() and {r.spans for r in rows} == {""}
