@@ -6,9 +6,8 @@ documents; a text is judged by the mean, over its n-grams, of the logarithm of
 the ratio of the two. A text is kept if that mean reaches ``LEAST``, a fixed
 threshold, so every document gets the same verdict in every run.
 
-Only DataFrame functions are used. Counts cover all documents. Trusted are rows
-labelled of quality 1; at most ``TRUSTED`` of them, in the order of a hash, make
-the target, so that the list of their ids can be broadcast.
+Only DataFrame functions are used. Counts cover all documents. Trusted are all
+rows labelled of quality 1; they meet the documents by a shuffle on ``doc_id``.
 
 Defined cases: a null or blank text has no words and fails the stated rules; with
 no trusted documents the ratio is zero for all and the stated rules decide; rows
@@ -24,7 +23,6 @@ from pyspark.sql import functions as F
 from terrasift.llm.common import staged, words
 
 BUCKETS = 10_000
-TRUSTED = 50_000
 LEAST = -0.045
 SMOOTHING = 1.0
 WINDOW, FEWEST_WORDS, REPEAT_PERCENT = 5, 10, 20
@@ -74,11 +72,12 @@ def repeated_lines(text: Column) -> Column:
 
 def log_ratios(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """One row with the array ``ratios``: the log ratio of each bucket, trusted to all."""
-    # Bounded by TRUSTED ids, whatever the size of the tables.
-    trusted = (labels.filter("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("trusted_id")).distinct()
-               .orderBy(F.xxhash64("trusted_id"), "trusted_id").limit(TRUSTED))
-    rows = documents.join(F.broadcast(trusted), F.col("doc_id") == F.col("trusted_id"), "left")
-    rows = rows.select(words(F.col("text")).alias("words"), F.col("trusted_id").isNotNull().cast("int").alias("trusted"))
+    trusted = labels.filter("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("trusted_id")).distinct()
+    # Shuffled at every size, so that the work grows with the input; rows without an id stay where they lie.
+    known = documents.filter("doc_id IS NOT NULL").join(trusted.hint("shuffle_hash"), F.col("doc_id") == F.col("trusted_id"), "left")
+    rows = known.select("text", F.col("trusted_id").isNotNull().cast("int").alias("trusted")).unionByName(
+        documents.filter("doc_id IS NULL").select("text", F.lit(0).alias("trusted")))
+    rows = rows.select(words(F.col("text")).alias("words"), "trusted")
     grams = rows.select("trusted", F.explode(ngrams(F.col("words"))).alias("bucket"))
     counts = staged(grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("all"), F.sum("trusted").alias("good")), "ngrams")
     totals = counts.agg(F.coalesce(F.sum("all"), F.lit(0)).alias("n"), F.coalesce(F.sum("good"), F.lit(0)).alias("m")).first()

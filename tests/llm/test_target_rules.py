@@ -3,6 +3,7 @@ from collections import Counter
 
 import pyarrow.parquet as pq
 import xxhash
+from pyspark.sql import functions as F
 
 from terrasift.llm import target_rules
 from terrasift.llm.target_rules import judge_documents
@@ -79,6 +80,13 @@ def test_repeats_lines_and_symbols(spark, documents):
     check(judge_documents(documents(texts), labels).collect(), list(enumerate(texts)), {0})
 
 
+def test_every_trusted_row_counts(spark):
+    """Where all rows are trusted, the two multinomials are one, at any number of rows."""
+    rows = spark.range(60_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("w"), F.col("id")).alias("text"))
+    labels = rows.select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    assert judge_documents(rows, labels).agg(F.max(F.abs("ratio"))).first()[0] == 0.0
+
+
 def test_odd_rows(spark, odd_documents):
     labels = spark.createDataFrame([(5, 1, 0), (5, 1, 0), (None, 1, 0)], LABELS)
     rows = [(r.doc_id, r.text) for r in odd_documents.collect()]
