@@ -12,6 +12,7 @@ from terrasift.llm.mixing import mix_table
 from terrasift.llm.pages import extract_texts
 from terrasift.llm.pii import find_personal_data
 from terrasift.llm.ranking import score_documents
+from terrasift.llm.search import rank_documents
 from terrasift.llm.secrets import scan_documents
 from terrasift.llm.simhash import simhash_groups
 from terrasift.llm.target_rules import judge_documents
@@ -69,6 +70,10 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_documents(table(spark, sf_dir, "documents"))
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_quality_ranking": op2_quality_ranking,
@@ -80,8 +85,12 @@ QUERIES = {
     "op8_personal_data": op8_personal_data,
     "op9_mixing": op9_mixing,
     "op10_secrets": op10_secrets,
+    "op13_ranked_search": op13_ranked_search,
 }
 
+# Terms of op13: runs of ASCII digits, ASCII letters and all characters beyond ASCII.
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
 ORACLE = {
     "op1_url_filter": rf"""
 WITH cut AS (
@@ -139,4 +148,25 @@ rated AS (
   SELECT doc_id, size, source_size, target, draw, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate
   FROM sizes JOIN targets ON sizes.source IS NOT DISTINCT FROM targets.source)
 SELECT doc_id, size, source_size, target, ((floor(rate) + (draw < rate - floor(rate))::INT) * size)::BIGINT AS taken FROM rated""",
+    "op13_ranked_search": rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row_no, doc_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{TERM}') AS terms
+  FROM documents WHERE text IS NOT NULL),
+counted AS (SELECT row_no, doc_id, terms, len(terms)::BIGINT AS n FROM docs WHERE len(terms) > 0),
+corpus AS (SELECT count(*)::BIGINT AS big_n, sum(n)::BIGINT AS big_l FROM counted),
+held AS (SELECT row_no, term, count(*)::BIGINT AS tf FROM (SELECT row_no, unnest(terms) AS term FROM counted) GROUP BY ALL),
+spread AS (SELECT term, count(*)::BIGINT AS df FROM held GROUP BY term),
+weighed AS (SELECT term, floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM spread, corpus),
+items AS (
+  SELECT row_number() OVER () AS item_no, item_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{TERM}') AS terms
+  FROM (SELECT DISTINCT item_id, text FROM benchmark WHERE text IS NOT NULL)),
+wanted AS (SELECT item_no, item_id, term, count(*)::BIGINT AS times FROM (SELECT item_no, item_id, unnest(terms) AS term FROM items) GROUP BY ALL),
+scored AS (
+  SELECT item_no, item_id, row_no, doc_id,
+         sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + ((25 * n * big_n) // big_l)))))::BIGINT AS score
+  FROM wanted JOIN weighed USING (term) JOIN held USING (term) JOIN counted USING (row_no), corpus GROUP BY ALL),
+ranked AS (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_no ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20""",
 }
