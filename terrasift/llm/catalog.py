@@ -11,6 +11,7 @@ from terrasift.llm.contamination import contaminated
 from terrasift.llm.mixing import mix_table
 from terrasift.llm.pages import extract_texts
 from terrasift.llm.pii import find_personal_data
+from terrasift.llm.prefix_trie import prefix_trie
 from terrasift.llm.ranking import score_documents
 from terrasift.llm.search import rank_documents
 from terrasift.llm.secrets import scan_documents
@@ -70,6 +71,10 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -85,6 +90,7 @@ QUERIES = {
     "op8_personal_data": op8_personal_data,
     "op9_mixing": op9_mixing,
     "op10_secrets": op10_secrets,
+    "op11_prefix_trie": op11_prefix_trie,
     "op13_ranked_search": op13_ranked_search,
 }
 
@@ -148,6 +154,39 @@ rated AS (
   SELECT doc_id, size, source_size, target, draw, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate
   FROM sizes JOIN targets ON sizes.source IS NOT DISTINCT FROM targets.source)
 SELECT doc_id, size, source_size, target, ((floor(rate) + (draw < rate - floor(rate))::INT) * size)::BIGINT AS taken FROM rated""",
+    "op11_prefix_trie": r"""
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(coalesce(text, ''))) AS place
+  FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS lender,
+         xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+             lambda c, b: list_reduce([xor(c, b), 1::BIGINT, 1::BIGINT, 1::BIGINT, 1::BIGINT, 1::BIGINT, 1::BIGINT, 1::BIGINT, 1::BIGINT],
+                                      lambda x, one: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384::BIGINT) ELSE x // 2 END)), 4294967295::BIGINT) % 6 AS head
+  FROM (SELECT DISTINCT conv_id FROM turns)),
+joined AS (
+  SELECT ids.conv_id, turns.place, turns.role, turns.text FROM ids JOIN turns ON turns.conv_id = ids.lender AND turns.place <= head
+  UNION ALL SELECT ids.conv_id, turns.place, turns.role, turns.text FROM ids JOIN turns ON turns.conv_id = ids.conv_id AND turns.place > head),
+paths AS (
+  SELECT conv_id, list(md5(length(role) || ':' || role || text) ORDER BY place) AS said, list(length(text)::BIGINT ORDER BY place) AS chars
+  FROM joined GROUP BY conv_id),
+rebuilt AS (SELECT ids.conv_id, coalesce(said, []) AS said, coalesce(chars, []) AS chars FROM ids LEFT JOIN paths USING (conv_id)),
+members AS (
+  SELECT conv_id, d::BIGINT AS depth, len(said)::BIGINT AS length, md5(array_to_string(said[1:d], ',')) || d AS node,
+         CASE WHEN d > 0 THEN md5(array_to_string(said[1:d - 1], ',')) || (d - 1) END AS parent, CASE WHEN d > 0 THEN chars[d] ELSE 0 END AS chars
+  FROM (SELECT *, unnest(range(0, len(said) + 1)) AS d FROM rebuilt)),
+nodes AS (
+  SELECT node, parent, depth, min(conv_id) AS conv_id, count(*)::BIGINT AS n_convs, max(chars) AS chars,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (depth = length), '')) AS ends_sha256
+  FROM members GROUP BY node, parent, depth),
+children AS (SELECT parent AS node, count(*)::BIGINT AS n_children FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+full_nodes AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN children USING (node)),
+totals AS (
+  SELECT above.node, count(*) FILTER (below.n_children = 0) AS n_leaves, sum((below.n_convs - 1) * below.chars)::BIGINT AS saved_tokens
+  FROM full_nodes below JOIN members above ON above.conv_id = below.conv_id AND above.depth <= below.depth GROUP BY above.node)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, n_leaves, saved_tokens, n.ends_sha256
+FROM full_nodes n JOIN totals USING (node) LEFT JOIN full_nodes p ON p.node = n.parent""",
     "op13_ranked_search": rf"""
 WITH docs AS (
   SELECT row_number() OVER () AS row_no, doc_id,

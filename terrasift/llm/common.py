@@ -51,3 +51,23 @@ def with_rank(df: DataFrame, order: list[Column], name: str = "rank") -> DataFra
     return (ranges.join(starts, "_range")
             .withColumn(name, (F.col("_start") + F.row_number().over(inside) - 1).cast("long"))
             .drop("_range", "_start"))
+
+
+HOT_ROWS = 1_000    # rows of one key that need no dealing
+HOT_KEYS = 10_000   # keys that can be dealt; a key is hot from this fraction of the rows on, so there are no more of them
+
+
+def spread_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Join in which one key may hold any share of ``left`` (staged, as it is read twice).
+
+    Keys with more rows than ``HOT_ROWS`` and than the ``HOT_KEYS``-th part of all are dealt
+    over several parts, and their rows of ``right`` are repeated for each part. There are at
+    most ``HOT_KEYS`` of them, so their list, and it alone, is broadcast. Null keys match nothing.
+    """
+    limit = max(HOT_ROWS, left.count() // HOT_KEYS)
+    counts = left.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > limit)
+    hot = F.broadcast(staged(counts.select(*on, F.ceil(F.col("_rows") / limit).cast("long").alias("_parts")), "hot"))
+    parts = F.coalesce("_parts", F.lit(1).cast("long"))
+    dealt = left.join(hot, on, "left").withColumn("_part", F.pmod(F.monotonically_increasing_id(), parts)).drop("_parts")
+    every = right.join(hot, on, "left").withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))).drop("_parts")
+    return dealt.join(every, [*on, "_part"], how).drop("_part")
