@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from terrasift.llm.chunks import repeated_spans
 from terrasift.llm.common import table
 from terrasift.llm.contamination import contaminated
+from terrasift.llm.jaccard import jaccard_groups
 from terrasift.llm.mixing import mix_table
 from terrasift.llm.pages import extract_texts
 from terrasift.llm.pii import find_personal_data
@@ -75,6 +76,10 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(table(spark, sf_dir, "conversations"))
 
 
+def op12_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_groups(table(spark, sf_dir, "documents"))
+
+
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -91,6 +96,7 @@ QUERIES = {
     "op9_mixing": op9_mixing,
     "op10_secrets": op10_secrets,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_ngram_jaccard": op12_ngram_jaccard,
     "op13_ranked_search": op13_ranked_search,
 }
 
@@ -187,6 +193,20 @@ totals AS (
   FROM full_nodes below JOIN members above ON above.conv_id = below.conv_id AND above.depth <= below.depth GROUP BY above.node)
 SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, n_leaves, saved_tokens, n.ends_sha256
 FROM full_nodes n JOIN totals USING (node) LEFT JOIN full_nodes p ON p.node = n.parent""",
+    "op12_ngram_jaccard": r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda k: array_to_string(w[k:k + 4], ' '))) AS shingle
+  FROM docs WHERE len(w) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM sets a JOIN sets b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+reached(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b),
+least AS (SELECT a, min(b) AS b FROM reached GROUP BY a)
+SELECT docs.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(docs.doc_id, coalesce(b, docs.doc_id)) AS component_id
+FROM docs LEFT JOIN sizes USING (doc_id) LEFT JOIN least ON least.a = docs.doc_id""",
     "op13_ranked_search": rf"""
 WITH docs AS (
   SELECT row_number() OVER () AS row_no, doc_id,
