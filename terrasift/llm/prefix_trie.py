@@ -41,7 +41,7 @@ from terrasift.llm.common import shuffle_partitions, spread_join, staged
 from terrasift.operators.ranks import running_totals
 
 BLOCK, HEADS = 100, 6      # the conversation that lends its head, and the remainders that say how much of it
-SHARD_ROWS = 20_000        # turns below a shard root, or a CHAINS-th part of all, if that is more
+SHARD_ROWS = 1_000         # turns below a shard root, or a CHAINS-th part of all, if that is more
 CHAINS = 10_000
 QUEUE_ROWS = 200_000       # messages that a queue keeps in memory
 IDS_PER_PIECE = 4_096      # ids that are joined before they are sent to the task that hashes them
