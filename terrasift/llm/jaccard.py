@@ -9,9 +9,10 @@ share a shingle among the first ``n - ceil(0.8 n) + 1`` of each, its prefix.
    prefixes need; the counts only keep frequent shingles out of them.
 2. Documents with equal sets are one class, classes with equal size and prefix
    are one group. Only prefix shingles of at least two groups go on.
-3. Groups that share a prefix shingle are filtered by size and by the overlap
-   that the places of the shingle leave possible, then expanded to their classes,
-   which are verified by their whole sets.
+3. Groups that share a prefix shingle are filtered by size, by the overlap that
+   the places of the shingle leave possible, and by parity bitmaps of their sets,
+   whose differing bits are a lower bound of the differing shingles. Groups left
+   with a partner are expanded to their classes and verified by their whole sets.
 
 Pairs are not enumerated. In two rounds each bucket of a shingle is compared with
 one pivot group, which joins most near copies; what is then still apart in some
@@ -40,7 +41,9 @@ from terrasift.llm.components import components
 
 WORDS = 5
 PERCENT = 80                # of the union that linked sets share
-BUCKETS = 1 << 17           # counters of hashed shingles; the driver and every task hold them, 1 MB
+BUCKETS = 1 << 20           # counters of hashed shingles; the driver and every task hold them, 8 MB
+SLICE = 1 << 14             # counters that are summed together
+TESTS = 2_048               # groups of one bucket that look for a partner by bitmaps; in larger buckets the others stay untested
 CHUNK_SHINGLES = 200_000    # shingles of the classes on one side of a cell
 ROUNDS = 2                  # of pivots
 CACHED_WORDS = 1_000_000    # word hashes a task keeps
@@ -72,7 +75,7 @@ class Shingler:
 
 
 def bucket(tokens: np.ndarray) -> np.ndarray:
-    return (tokens.view(np.uint64) >> np.uint64(47)).astype(np.int64)  # 17 bits
+    return (tokens.view(np.uint64) >> np.uint64(44)).astype(np.int64)  # 20 bits
 
 
 def prefix_length(n: int) -> int:
@@ -81,23 +84,44 @@ def prefix_length(n: int) -> int:
 
 def count_buckets(documents: DataFrame) -> np.ndarray:
     """How many sets hold a shingle of each bucket, over all documents; ``BUCKETS`` numbers at any size."""
-    def run(batches):
-        shingles, counts = Shingler(), np.zeros(BUCKETS, np.int64)
+    def count(batches):
+        shingles, counts = Shingler(), np.zeros(BUCKETS, np.int32)
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 np.add.at(counts, bucket(shingles(text)), 1)
-        used = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(counts[used])], ["bucket", "n"])
+        for k, part in enumerate(counts.reshape(-1, SLICE)):
+            yield slices([k], [part.tobytes()])
 
+    def add(batches):
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, part in zip(batch.column(0).to_pylist(), batch.column(1)):
+                sums.setdefault(k, np.zeros(SLICE, np.int64))
+                sums[k] += np.frombuffer(part.as_buffer(), np.int32)
+        for k, total in sums.items():
+            yield slices([k], [total.tobytes()])
+
+    def slices(numbers, parts):
+        return pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array(parts, pa.binary())], ["slice", "counts"])
+
+    spark = documents.sparkSession
+    parts = documents.select("text").mapInArrow(count, "slice int, counts binary")
+    found = parts.repartition(min(BUCKETS // SLICE, shuffle_partitions(spark)), "slice").mapInArrow(add, "slice int, counts binary").toArrow()
     total = np.zeros(BUCKETS, np.int64)
-    for key, count in documents.select("text").mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n")).collect():
-        total[key] = count
+    for k, part in zip(found.column(0).to_pylist(), found.column(1).to_pylist()):
+        total[k * SLICE:(k + 1) * SLICE] = np.frombuffer(part, np.int64)
     return total
 
 
+def parity_bitmap(tokens: np.ndarray) -> bytes:
+    """One bit for each value of the low bits of a shingle, set if an odd number of shingles has it; a bit a shingle, or up to two."""
+    bits = 1 << max(6, (len(tokens) - 1).bit_length())
+    return np.packbits(np.bincount(tokens & (bits - 1), minlength=bits).astype(np.uint8) & 1).tobytes()
+
+
 def mark_documents(documents: DataFrame, counts: np.ndarray) -> DataFrame:
-    """Per document its ``key``, set size ``n``, class (c0, c1), group ``gid`` and ``prefix``; a prefix that the same
-    part of the table has given before is null."""
+    """Per document its ``key``, set size ``n``, class (c0, c1), group ``gid``, ``prefix`` and ``bitmap``; these two are
+    null where the same part of the table has given the group before."""
     def halves(values: np.ndarray) -> tuple[int, int]:
         low = xxhash.xxh3_128_intdigest(values.tobytes())
         return tuple(x - (1 << 64) if x >> 63 else x for x in (low >> 64, low & (1 << 64) - 1))
@@ -105,7 +129,7 @@ def mark_documents(documents: DataFrame, counts: np.ndarray) -> DataFrame:
     def run(batches):
         shingles, given = Shingler(), set()
         for batch in batches:
-            sizes, c0, c1, gids, prefixes = [], [], [], [], []
+            sizes, c0, c1, gids, prefixes, bitmaps = [], [], [], [], [], []
             for text in batch.column(2).to_pylist():
                 tokens = shingles(text)
                 n = len(tokens)
@@ -120,14 +144,17 @@ def mark_documents(documents: DataFrame, counts: np.ndarray) -> DataFrame:
                 c0.append(one)
                 c1.append(two)
                 gids.append(gid if n else None)
-                prefixes.append(None if kept is None or gid in given else kept)
-                if n:
+                new = n > 0 and gid not in given
+                prefixes.append(kept if new else None)
+                bitmaps.append(parity_bitmap(tokens) if new else None)
+                if new:
                     given.add(gid)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), *[pa.array(x, pa.int64()) for x in (sizes, c0, c1, gids)], pa.array(prefixes, pa.list_(pa.int64()))],
-                ["doc_id", "key", "n", "c0", "c1", "gid", "prefix"])
+                [batch.column(0), batch.column(1), *[pa.array(x, pa.int64()) for x in (sizes, c0, c1, gids)],
+                 pa.array(prefixes, pa.list_(pa.int64())), pa.array(bitmaps, pa.binary())],
+                ["doc_id", "key", "n", "c0", "c1", "gid", "prefix", "bitmap"])
 
-    return keyed(documents).mapInArrow(run, "doc_id long, key long, n long, c0 long, c1 long, gid long, prefix array<long>")
+    return keyed(documents).mapInArrow(run, "doc_id long, key long, n long, c0 long, c1 long, gid long, prefix array<long>, bitmap binary")
 
 
 def keyed(documents: DataFrame) -> DataFrame:
@@ -169,6 +196,73 @@ def shared_entries(marks: DataFrame) -> DataFrame:
     return ranges.mapInArrow(run, "token long, gid long, n long, place long")
 
 
+def _fold(bitmaps: np.ndarray, length: int) -> np.ndarray:
+    while bitmaps.shape[1] > length:
+        half = bitmaps.shape[1] // 2
+        bitmaps = bitmaps[:, :half] ^ bitmaps[:, half:]
+    return bitmaps
+
+
+def partnered(n: np.ndarray, place: np.ndarray, bitmaps: list) -> np.ndarray:
+    """Which groups of a bucket may be linked with another one of it."""
+    keep = np.array([one is None for one in bitmaps])  # several classes: no bitmap holds for all
+    if keep.any():
+        return np.ones(len(n), bool)
+    lengths = np.array([len(one) for one in bitmaps])
+    where = {int(length): np.flatnonzero(lengths == length) for length in np.unique(lengths)}
+    tables = {length: np.frombuffer(b"".join(bitmaps[k] for k in at), np.uint8).reshape(len(at), length) for length, at in where.items()}
+    for tested, k in enumerate(range(len(n))):
+        if keep[k]:
+            continue
+        if tested >= TESTS:
+            return np.ones(len(n), bool)
+        ahead = np.minimum(place[k], place) + np.minimum(n[k] - place[k], n - place)
+        fits = (100 * np.minimum(n[k], n) >= PERCENT * np.maximum(n[k], n)) & ((100 + PERCENT) * ahead >= PERCENT * (n[k] + n))
+        fits[k] = False
+        own = np.frombuffer(bitmaps[k], np.uint8)[None, :]
+        for length, at in where.items():
+            some = np.flatnonzero(fits[at])
+            if len(some):
+                short = min(length, own.shape[1])
+                apart = np.bitwise_count(_fold(tables[length][some], short) ^ _fold(own, short)).sum(axis=1, dtype=np.int64)
+                found = at[some[(100 + PERCENT) * apart <= (100 - PERCENT) * (n[k] + n[at[some]])]]
+                keep[found] = True
+                keep[k] |= len(found) > 0
+    return keep
+
+
+def surviving_entries(entries: DataFrame, bitmaps: DataFrame) -> DataFrame:
+    """The entries whose group may be linked with another group of the bucket. ``bitmaps``: (gid, bitmap), at most one a group.
+
+    Buckets are read in ranges; those at the ends of a range may go on in the next and stay whole.
+    """
+    def run(batches):
+        token, held, first = None, [], True
+        for batch in batches:
+            out = []
+            for row in zip(*(batch.column(k).to_pylist() for k in range(5))):
+                if row[0] != token:
+                    out += judged(held, first)
+                    first, token, held = token is None, row[0], []
+                held.append(row)
+            yield batch_of(out)
+        yield batch_of(held)
+
+    def judged(held, whole):
+        if whole or not held:
+            return held
+        _, _, n, place, maps = zip(*held)
+        return [row for row, keep in zip(held, partnered(np.array(n), np.array(place), maps)) if keep]
+
+    def batch_of(rows):
+        columns = list(zip(*rows))[:4] or [()] * 4
+        return pa.RecordBatch.from_arrays([pa.array(column, pa.int64()) for column in columns], ["token", "gid", "n", "place"])
+
+    mapped = entries.join(bitmaps, "gid", "left").select("token", "gid", "n", "place", "bitmap")
+    ranges = mapped.repartitionByRange(shuffle_partitions(entries.sparkSession), "token", "gid").sortWithinPartitions("token", "gid")
+    return ranges.mapInArrow(run, "token long, gid long, n long, place long")
+
+
 def tree_of_links(members: DataFrame) -> DataFrame:
     """(a, b): links that join the same classes as all links between the two sides of every cell do.
 
@@ -293,6 +387,9 @@ def jaccard_groups(documents: DataFrame, rounds: int = ROUNDS, chunk: int = CHUN
     classes = staged(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
     entries = staged(shared_entries(marks), "entries")
     several = classes.groupBy("gid").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("gid")
+    bitmaps = marks.filter("bitmap IS NOT NULL").select("gid", "bitmap").join(entries.select("gid").distinct(), "gid", "left_semi")
+    bitmaps = bitmaps.groupBy("gid").agg(F.first("bitmap").alias("bitmap")).join(several, "gid", "left_anti")
+    entries = staged(surviving_entries(entries, bitmaps), "surviving")
     involved = entries.select("gid").unionByName(several).distinct()
     involved = staged(classes.join(involved, "gid", "left_semi"), "involved")
     sets = staged(sets_of(documents, involved), "sets")

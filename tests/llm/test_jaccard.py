@@ -106,6 +106,22 @@ def test_entries_keep_what_is_shared_and_the_ends_of_ranges(spark):
     assert shared <= got <= rows and len(got - shared) <= 16
 
 
+def test_bitmaps_lose_no_link(monkeypatch):
+    rng = np.random.default_rng(5)
+    sets = []
+    for size in (3, 20, 60, 64, 65, 130, 250, 1000):
+        base = rng.integers(-2**63, 2**63 - 1, size)
+        sets += [np.unique(np.concatenate([base[:size - cut], rng.integers(-2**63, 2**63 - 1, add)])) for cut in (0, 1, size // 9, size // 5, size // 2)
+                 for add in (0, 1, size // 10, size // 3)]
+    sizes = np.array([len(s) for s in sets])
+    keep = jaccard.partnered(sizes, np.zeros(len(sets), np.int64), [jaccard.parity_bitmap(s) for s in sets])
+    linked = [any(100 * len(np.intersect1d(a, b)) >= 80 * len(np.union1d(a, b)) for b in sets if b is not a) for a in sets]
+    assert all(k for k, want in zip(keep, linked) if want) and not keep.all()
+    assert jaccard.partnered(sizes, sizes * 0, [None, *[b"x" * 8] * (len(sets) - 1)]).all()
+    monkeypatch.setattr(jaccard, "TESTS", 3)
+    assert jaccard.partnered(sizes, sizes * 0, [jaccard.parity_bitmap(s) for s in sets]).all()
+
+
 def test_odd_rows(spark, odd_documents):
     rows = odd_documents.collect()
     got = jaccard_groups(odd_documents.selectExpr("*", "1 AS n", "2 AS cid", "3 AS label", "4 AS gid"))
