@@ -46,7 +46,7 @@ SLICE = 1 << 14             # counters that are summed together
 TESTS = 2_048               # groups of one bucket that look for a partner by bitmaps; in larger buckets the others stay untested
 CHUNK_SHINGLES = 200_000    # shingles of the classes on one side of a cell
 ROUNDS = 2                  # of pivots
-CACHED_WORDS = 1_000_000    # word hashes a task keeps
+CACHED_WORDS = 100_000      # word hashes a task keeps
 MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
@@ -85,10 +85,16 @@ def prefix_length(n: int) -> int:
 def count_buckets(documents: DataFrame) -> np.ndarray:
     """How many sets hold a shingle of each bucket, over all documents; ``BUCKETS`` numbers at any size."""
     def count(batches):
-        shingles, counts = Shingler(), np.zeros(BUCKETS, np.int32)
+        shingles, counts, held, size = Shingler(), np.zeros(BUCKETS, np.int32), [], 0
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                np.add.at(counts, bucket(shingles(text)), 1)
+            for text in batch.column(0):
+                held.append(shingles(text.as_py()))
+                size += len(held[-1])
+                if size > BUCKETS:
+                    counts += np.bincount(bucket(np.concatenate(held)), minlength=BUCKETS).astype(np.int32)
+                    held, size = [], 0
+        if held:
+            counts += np.bincount(bucket(np.concatenate(held)), minlength=BUCKETS).astype(np.int32)
         for k, part in enumerate(counts.reshape(-1, SLICE)):
             yield slices([k], [part.tobytes()])
 
@@ -130,8 +136,8 @@ def mark_documents(documents: DataFrame, counts: np.ndarray) -> DataFrame:
         shingles, given = Shingler(), set()
         for batch in batches:
             sizes, c0, c1, gids, prefixes, bitmaps = [], [], [], [], [], []
-            for text in batch.column(2).to_pylist():
-                tokens = shingles(text)
+            for text in batch.column(2):
+                tokens = shingles(text.as_py())
                 n = len(tokens)
                 one, two = halves(tokens)
                 kept = None
@@ -203,6 +209,32 @@ def _fold(bitmaps: np.ndarray, length: int) -> np.ndarray:
     return bitmaps
 
 
+FEW = 16  # groups of a bucket that are compared one by one
+
+
+def _partnered_few(n, place, bitmaps: list) -> list:
+    """The same as :func:`partnered` for small buckets, with bitmaps as whole numbers."""
+    maps = [int.from_bytes(one) for one in bitmaps]
+    bits = [8 * len(one) for one in bitmaps]
+    keep = [False] * len(n)
+    for j in range(1, len(n)):
+        for i in range(j):
+            x, y, total = n[i], n[j], n[i] + n[j]
+            if keep[i] and keep[j] or 100 * min(x, y) < PERCENT * max(x, y):
+                continue
+            if (100 + PERCENT) * (min(place[i], place[j]) + min(x - place[i], y - place[j])) < PERCENT * total:
+                continue
+            a, b, wide, short = maps[i], maps[j], bits[i], bits[j]
+            if wide < short:
+                a, b, wide, short = b, a, short, wide
+            while wide > short:
+                wide //= 2
+                a = (a >> wide) ^ (a & (1 << wide) - 1)
+            if (100 + PERCENT) * (a ^ b).bit_count() <= (100 - PERCENT) * total:
+                keep[i] = keep[j] = True
+    return keep
+
+
 def partnered(n: np.ndarray, place: np.ndarray, bitmaps: list) -> np.ndarray:
     """Which groups of a bucket may be linked with another one of it."""
     keep = np.array([one is None for one in bitmaps])  # several classes: no bitmap holds for all
@@ -251,8 +283,12 @@ def surviving_entries(entries: DataFrame, bitmaps: DataFrame) -> DataFrame:
     def judged(held, whole):
         if whole or not held:
             return held
+        if len(held) == 1:
+            return []
         _, _, n, place, maps = zip(*held)
-        return [row for row, keep in zip(held, partnered(np.array(n), np.array(place), maps)) if keep]
+        few = len(held) <= FEW and None not in maps
+        keeps = _partnered_few(n, place, maps) if few else partnered(np.array(n), np.array(place), maps)
+        return [row for row, keep in zip(held, keeps) if keep]
 
     def batch_of(rows):
         columns = list(zip(*rows))[:4] or [()] * 4
@@ -424,6 +460,7 @@ def sets_of(documents: DataFrame, classes: DataFrame) -> DataFrame:
                     sets.append(tokens)
             yield pa.RecordBatch.from_arrays([pa.array(cids, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["cid", "tokens"])
 
-    texts = keyed(documents).select("key", "text").join(classes.select("key", "cid", "c0", "c1"), "key")
+    # The classes grow with the documents, so texts and classes meet by shuffle at every size.
+    texts = keyed(documents).select("key", "text").join(classes.select("key", "cid", "c0", "c1").hint("merge"), "key")
     found = texts.select("cid", "c0", "c1", "text").mapInArrow(run, "cid long, tokens array<long>")
     return found.dropDuplicates(["cid"])

@@ -4,18 +4,21 @@ The stated patterns label credentials in the documents. From a bounded sample of
 those a prefix tree of character classes is built for each kind, and states whose
 outgoing frequencies are statistically compatible (Hoeffding bound) are merged
 into a probabilistic automaton; ordinary tokens give one more, the background.
-Tokens in every document are then scored by how much likelier, per character, a
-credential automaton makes their format than the background does. Those above the
-threshold become ``format`` spans. Ordinary tokens that an automaton prefers are
-left out of the background and of the threshold, as they may be credentials.
+Tokens in every document are then scored by how much likelier a credential
+automaton makes their format than the background does. Those that gain more than
+``EVIDENCE`` bits and ``MARGIN`` bits for each character become ``format`` spans:
+what a token must gain per character grows as its length falls, and no length is
+left out. Ordinary tokens that an automaton prefers are left out of the
+background, as they may be credentials.
 
-Scored are runs of at least ``FEWEST`` characters out of ``CANDIDATE`` that are not
-all letters and overlap no stated span; shorter ones, and runs cut by a full stop,
-are judged in parts or not at all.
+Scored are all runs of ``CANDIDATE``, full stops included, or what the stated
+spans leave of them, without full stops and hyphens at their ends.
 
 The sample is bounded by ``SAMPLE_PER_KIND`` distinct tokens of each kind, in the
 order of a hash, of at most ``LONGEST`` characters, and four times as many ordinary
-ones, drawn by how often they occur; the scan covers all text.
+ones: three quarters drawn by how often they occur, the rest from the ``SHAPES`` most
+frequent shapes (numbers, dates, addresses), so that rare but ordinary forms are known
+to the background. The scan covers all text.
 
 Defined cases: a null or empty text has no spans; repeated rows are scanned each;
 without labelled credentials no ``format`` spans are added; an empty table gives
@@ -42,18 +45,23 @@ ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex", "format")
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
-WORD = re.compile(r"[A-Za-z0-9+/_=-]{6,}")
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=.-]+")
+ENDS = ".-"           # not part of a token at its ends
 
-SAMPLE_PER_KIND, LONGEST, FEWEST = 400, 200, 20
+SAMPLE_PER_KIND, LONGEST, SHAPES = 400, 200, 100
 ALPHA = 0.05          # of the Hoeffding bound
 PASSES = 4            # fits of the background at most
-MARGIN = 0.5          # bits per character that a credential must stand above the background
+EVIDENCE = 10.0       # bits that a credential must stand above the background, whatever its length
+MARGIN = 0.25         # and bits for each of its characters
+VERDICTS = 500_000    # tokens whose verdict a task keeps
 MASK = "[SECRET]"
 CLASSES = {**{c: "d" for c in "0123456789"}, **{c: "h" for c in "abcdef"}, **{c: "l" for c in "ghijklmnopqrstuvwxyz"},
            **{c: "H" for c in "ABCDEF"}, **{c: "L" for c in "GHIJKLMNOPQRSTUVWXYZ"}}
 CLASS_SIZE = {"d": 10, "h": 6, "l": 20, "H": 6, "L": 20}
 SYMBOLS = "dhlHL+/_=-."
+CODES = np.zeros(256, np.int64)
+for _c in range(256):
+    CODES[_c] = max(SYMBOLS.find(CLASSES.get(chr(_c), chr(_c))), 0)
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -158,46 +166,101 @@ class Automaton:
             self.bits[k, -1] = math.log2((seen + 0.1) / (total + 0.1 * width))
         del self.next, self.count, self.ends
 
+    def bits_of(self, codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Bits of many tokens, whose symbols lie one after the other in ``codes``."""
+        order = np.argsort(-lengths, kind="stable")
+        starts, lengths = starts[order], lengths[order]
+        state, total = np.zeros(len(order), np.int64), np.zeros(len(order))
+        for at in range(int(lengths[0]) if len(lengths) else 0):
+            live = np.searchsorted(-lengths, -at, "left")  # the tokens longer than this come first
+            symbol = codes[starts[:live] + at]
+            total[:live] += self.bits[state[:live], symbol]
+            state[:live] = self.step[state[:live], symbol]
+        total += self.bits[state, -1]
+        out = np.empty(len(order))
+        out[order] = total
+        return out
+
     def score(self, token: str) -> float:
         """Bits per character of a token."""
-        at, total = 0, 0.0
-        step, bits = self.step, self.bits
-        for c in token:
-            k = SYMBOLS.index(CLASSES.get(c, c))
-            total += bits[at, k]
-            at = step[at, k]
-        return (total + bits[at, -1]) / len(token)
+        codes = CODES[np.frombuffer(token.encode(), np.uint8)]
+        return float(self.bits_of(codes, np.zeros(1, np.int64), np.array([len(token)]))[0]) / len(token)
+
+
+def needed_bits(lengths):
+    """What tokens of these lengths must gain over the background, in bits."""
+    return EVIDENCE + MARGIN * lengths
+
+
+def outside(spans, size: int) -> list[tuple[int, int]]:
+    """The parts of a text of this size that no span covers."""
+    out, at = [], 0
+    for a, b, _ in sorted(spans):
+        if a > at:
+            out.append((at, a))
+        at = max(at, b)
+    return [*out, (at, size)] if at < size else out
 
 
 class Formats:
-    """The inferred automata and the threshold on what a token must gain over the background."""
+    """The inferred automata, and what they say of tokens."""
 
     def __init__(self, credentials: dict[str, list[str]], ordinary: list[str]):
         self.kinds = {k: Automaton(v) for k, v in credentials.items() if v}
-        # Unlabelled credentials among the ordinary tokens, which the automata prefer, must not shape the background or the threshold.
+        self.verdicts: dict[str, bool] = {}
+        # Unlabelled credentials among the ordinary tokens, which the automata prefer, must not shape the background.
         for _ in range(PASSES):
             self.background = Automaton(ordinary)
-            kept = [t for t in ordinary if len(t) < FEWEST or self.gain(t) <= 0]
+            kept = [t for t, gain in zip(ordinary, self.gains(ordinary)) if gain <= 0]
             if len(kept) == len(ordinary):
                 break
             ordinary = kept
-        # Above every ordinary token that is left, by a margin; so never more than the margin above even odds.
-        self.threshold = MARGIN + max([g for t in ordinary if len(t) >= FEWEST and (g := self.gain(t)) <= 0] or [0.0])
 
-    def gain(self, token: str) -> float:
-        return max((a.score(token) for a in self.kinds.values()), default=-math.inf) - self.background.score(token)
+    def gains(self, tokens: list[str]) -> np.ndarray:
+        """Bits by which the likeliest credential automaton stands above the background, for each token."""
+        if not tokens or not self.kinds:
+            return np.full(len(tokens), -np.inf)
+        codes = CODES[np.frombuffer("".join(tokens).encode(), np.uint8)]
+        lengths = np.fromiter(map(len, tokens), np.int64, len(tokens))
+        starts = np.append(0, np.cumsum(lengths)[:-1])
+        best = np.max([a.bits_of(codes, starts, lengths) for a in self.kinds.values()], axis=0)
+        return best - self.background.bits_of(codes, starts, lengths)
+
+    def accepted(self, tokens: set[str]) -> set[str]:
+        """Those of the tokens that have the format of a credential."""
+        known = self.verdicts
+        fresh = [t for t in tokens if t not in known]
+        if len(known) + len(fresh) > VERDICTS:
+            known.clear()
+            fresh = list(tokens)
+        gains = self.gains(fresh)
+        known.update(zip(fresh, (gains > needed_bits(np.fromiter(map(len, fresh), np.int64, len(fresh)))).tolist()))
+        return {t for t in tokens if known[t]}
 
     def spans(self, text: str) -> list[tuple[int, int, str]]:
         """All spans of a text, the stated ones first of equal start."""
         base = base_spans(text)
         if not self.kinds:
             return base
+        parts = outside(base, len(text))
+        tokens = {t.strip(ENDS) for a, b in parts for t in CANDIDATE.findall(text, a, b)}
+        tokens.discard("")
+        found = self.accepted(tokens)
+        if not found:
+            return base
         added = []
-        for m in CANDIDATE.finditer(text):
-            a, b = m.span()
-            if b - a >= FEWEST and not m[0].isalpha() and not any(a < y and x < b for x, y, _ in base) and self.gain(m[0]) > self.threshold:
-                added.append((a, b, "format"))
-        return sorted(base + added, key=lambda x: (x[0], KINDS.index(x[2]))) if added else base
+        for a, b in parts:
+            for m in CANDIDATE.finditer(text, a, b):
+                token = m[0].strip(ENDS)
+                if token in found:
+                    start = m.start() + len(m[0]) - len(m[0].lstrip(ENDS))
+                    added.append((start, start + len(token), "format"))
+        return sorted(base + added, key=lambda x: (x[0], KINDS.index(x[2])))
+
+
+def shape(token: str) -> str:
+    """Digits, small and capital letters as one sign for each run, other characters as they are."""
+    return re.sub(r"A+", "A", re.sub(r"a+", "a", re.sub(r"0+", "0", re.sub(r"[a-z]", "a", re.sub(r"[A-Z]", "A", re.sub(r"[0-9]", "0", token))))))
 
 
 def infer_formats(documents: DataFrame) -> Formats:
@@ -211,23 +274,29 @@ def infer_formats(documents: DataFrame) -> Formats:
                     for a, b, kind in spans:
                         out[kind, ASSIGN.fullmatch(text[a:b])[1] if kind == "assign" else text[a:b]] += 1
                     if spans:  # ordinary tokens come from the documents that hold credentials
-                        out.update(("ordinary", m[0]) for m in WORD.finditer(text)
-                                   if not any(a < m.end() and m.start() < b for a, b, _ in spans))
+                        out.update(("ordinary", token) for a, b in outside(spans, len(text)) for t in CANDIDATE.findall(text, a, b)
+                                   if (token := t.strip(ENDS)))
             rows = [x for x in out if len(x[1]) <= LONGEST]
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in rows], pa.string()), pa.array([x[1] for x in rows], pa.string()),
-                                              pa.array([out[x] for x in rows], pa.int64())], ["kind", "token", "n"])
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array(values, pa.string()) for values in ([x[0] for x in rows], [x[1] for x in rows], [shape(x[1]) for x in rows])),
+                 pa.array([out[x] for x in rows], pa.int64())], ["kind", "token", "shape", "n"])
 
-    found = documents.select("text").mapInArrow(run, "kind string, token string, n long")
-    tokens = staged(found.groupBy("kind", "token").agg(F.sum("n").alias("n")), "tokens")
+    found = documents.select("text").mapInArrow(run, "kind string, token string, shape string, n long")
+    tokens = staged(found.groupBy("kind", "token", "shape").agg(F.sum("n").alias("n")), "tokens")
     # Ordinary tokens are drawn by how often they occur: random strings do not repeat, and among distinct tokens they would prevail as tables grow.
     draw = -F.log((F.pmod(F.xxhash64("token"), F.lit(1 << 52)) + 0.5) / float(1 << 52)) / F.col("n")
-    sample = {}
-    for kind in ("assign", "access", "hex", "ordinary"):
-        order = draw if kind == "ordinary" else F.xxhash64("token")
-        rows = tokens.filter(F.col("kind") == kind).orderBy(order, "token").limit(SAMPLE_PER_KIND * (4 if kind == "ordinary" else 1))
-        sample[kind] = [r["token"] for r in rows.collect()]
-    ordinary = sample.pop("ordinary")
-    return Formats(sample, ordinary)
+
+    def first(rows: DataFrame, order, count: int) -> list[str]:
+        return [r["token"] for r in rows.orderBy(order, "token").limit(count).collect()]
+
+    sample = {kind: first(tokens.filter(F.col("kind") == kind), F.xxhash64("token"), SAMPLE_PER_KIND) for kind in KINDS[:3]}
+    ordinary = tokens.filter("kind = 'ordinary'")
+    common = ordinary.groupBy("shape").agg(F.sum("n").alias("_n")).orderBy(F.desc("_n"), "shape").limit(SHAPES).select("shape")
+    # One row for each of SHAPES shapes; of each the tokens with the least hashes of 16 ranges of hashes.
+    shaped = ordinary.join(F.broadcast(common), "shape").groupBy("shape", F.pmod(F.xxhash64("token"), F.lit(16)).alias("part")).agg(
+        F.min(F.struct(F.xxhash64("token"), F.col("token").alias("token"))).alias("least"))
+    by_shape = first(shaped.select("least.token", "part"), F.col("part"), SAMPLE_PER_KIND)
+    return Formats(sample, sorted(set(by_shape)) + first(ordinary, draw, 3 * SAMPLE_PER_KIND))
 
 
 def joined_spans(spans) -> str:

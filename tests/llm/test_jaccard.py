@@ -117,6 +117,8 @@ def test_bitmaps_lose_no_link(monkeypatch):
     keep = jaccard.partnered(sizes, np.zeros(len(sets), np.int64), [jaccard.parity_bitmap(s) for s in sets])
     linked = [any(100 * len(np.intersect1d(a, b)) >= 80 * len(np.union1d(a, b)) for b in sets if b is not a) for a in sets]
     assert all(k for k, want in zip(keep, linked) if want) and not keep.all()
+    few = jaccard._partnered_few(sizes.tolist(), [0] * len(sets), [jaccard.parity_bitmap(s) for s in sets])
+    assert list(few) == keep.tolist()
     assert jaccard.partnered(sizes, sizes * 0, [None, *[b"x" * 8] * (len(sets) - 1)]).all()
     monkeypatch.setattr(jaccard, "TESTS", 3)
     assert jaccard.partnered(sizes, sizes * 0, [jaccard.parity_bitmap(s) for s in sets]).all()
