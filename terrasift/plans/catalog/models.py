@@ -121,26 +121,27 @@ def rf_without_bootstrap(spark, folder):
     return ops.fit(forest, df).transform(df).select("l_orderkey", "l_linenumber", F.round("prediction", 6).alias("prediction"))
 
 
-def _scored(spark, folder, estimator):
+def _scored(spark, folder, estimator, values=None):
+    """Fit on the training rows, over a grid if there is one, and score the others."""
     df = features.assemble(_items(spark, folder), MEASURES, "features")
     train, test = splits.random_parts(df, KEYS)
-    model = ops.fit(estimator, train)
+    model = ops.cross_validate(train, estimator, values, LABEL, KEYS).bestModel if values else ops.fit(estimator, train)
     return model.transform(test).select("l_orderkey", "l_linenumber", LABEL, "prediction")
 
 
 @query("dt_score")
 def dt_score(spark, folder):
-    return _scored(spark, folder, ops.decision_tree(LABEL, maxDepth=5))
+    return _scored(spark, folder, ops.decision_tree(LABEL), ops.TREE_GRID)
 
 
 @query("rf_score")
 def rf_score(spark, folder):
-    return _scored(spark, folder, ops.random_forest(LABEL, numTrees=20, maxDepth=5))
+    return _scored(spark, folder, ops.random_forest(LABEL), ops.FOREST_GRID)
 
 
 @query("gbt_score")
 def gbt_score(spark, folder):
-    return _scored(spark, folder, ops.boosted_trees(LABEL, maxIter=10, maxDepth=5))
+    return _scored(spark, folder, ops.boosted_trees(LABEL))
 
 
 FOLD = "CAST(floor(CAST(('0x' || substr(md5('42|' || length(l_orderkey::VARCHAR) || ':' || l_orderkey || '|' || length(l_linenumber::VARCHAR) || ':' || l_linenumber || '|' || length(l_partkey::VARCHAR) || ':' || l_partkey || '|' || length(l_suppkey::VARCHAR) || ':' || l_suppkey), 1, 8)) AS BIGINT) / 4294967296.0::DOUBLE * 3) AS INTEGER)"
@@ -173,21 +174,14 @@ def cv_grid(spark, folder):
 @query("best_parameters")
 def best_parameters(spark, folder):
     df = features.assemble(_items(spark, folder), MEASURES, "features")
-    fitted = ops.cross_validate(df, ops.decision_tree(LABEL), {"maxDepth": [2, 4]}, LABEL, KEYS)
+    fitted = ops.cross_validate(df, ops.decision_tree(LABEL), ops.TREE_GRID, LABEL, KEYS)
     return ops.parameter_report(spark, fitted.bestModel)
 
 
 @query("leaderboard")
 def leaderboard(spark, folder):
-    """All four regressors; small settings keep the run short."""
-    spec = DatasetSpec("lineitem", MEASURES, LABEL, pca_k=3)
-    entries = {
-        "Linear Regression": (ops.linear(LABEL), {"regParam": [0.01, 0.1]}),
-        "Decision Tree Regression": (ops.decision_tree(LABEL), {"maxDepth": [3, 5]}),
-        "Random Forest Regression": (ops.random_forest(LABEL, numTrees=10, maxDepth=4), {}),
-        "GBT Regression": (ops.boosted_trees(LABEL, maxIter=5, maxDepth=3), {}),
-    }
-    return tabular.compare_models(_items(spark, folder), spec, KEYS, entries)
+    """All four regressors with their published grids."""
+    return tabular.compare_models(_items(spark, folder), DatasetSpec("lineitem", MEASURES, LABEL, pca_k=3), KEYS)
 
 
 ORDERS = DatasetSpec("orders", ["day", "o_custkey"], "o_totalprice")
@@ -218,7 +212,7 @@ def train_registered_dataset(spark, folder):
     target = scratch_path(spark, "catalogue")
     rows = table(spark, folder, "lineitem").select("l_orderkey", *[v.alias(c) for v, c in zip(values, [*spec.features, spec.label])])
     sinks.write_csv(rows, target)
-    scored, _ = tabular.train_dataset(spark, spec.name, target, trees=20, maxDepth=4)
+    scored, _ = tabular.train_dataset(spark, spec.name, target)
     return scored.agg(F.count("*").alias("rows"), F.count("prediction").alias("scored"), F.round(F.sum(f"`{spec.label}`"), 2).alias("label_total"))
 
 
