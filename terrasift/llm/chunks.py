@@ -9,11 +9,13 @@ whose whole roll lies inside it. A chunk's digest is that of the roll that close
 it: the chunk and the words just before. Chunks whose digest occurs in another
 document are repeated, and runs of them make spans.
 
-A run may be shorter than the passage it comes from. Runs below ``PASSAGE`` words
-are therefore checked exactly: every window of ``PASSAGE`` words around their cuts
-is digested, in all documents that have such a cut, and only windows found in
-another document stay; longer runs are kept as they are. So every passage of ``PASSAGE`` words or more that two
-documents share is found, and shorter ones are left alone.
+A run may be shorter than the passage it comes from, by up to ``SPREAD`` - 1 words
+at either end. The ends are therefore found exactly: around the first and the last
+cut of every run, and around all cuts of runs below ``PASSAGE`` words, every window
+of ``PASSAGE`` words is digested, in all documents that have such a cut, and those
+found in another document are added; runs below ``PASSAGE`` words count by these
+windows alone. So every passage of ``PASSAGE`` words or more that two documents share
+is found to its last word, and shorter ones are left alone.
 
 Defined cases: null, blank and short texts have no chunks; rows with equal
 ``doc_id`` and text are one document; repeats inside one document do not count;
@@ -29,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrasift.llm.common import staged
+from terrasift.llm.common import spread_join, staged
 
 SHIFT, ROLL = 2, 32   # 64 bits shifted by two forget a word after 32 steps
 PASSAGE = 50
@@ -123,10 +125,13 @@ def chunk_cuts(documents: DataFrame) -> DataFrame:
         run, f"row long, doc_id {kind}, digest long, last long, start long, end long")
 
 
-def _repeated(rows: DataFrame) -> DataFrame:
-    """(digest, first_doc_id) of the digests found in more than one document."""
-    return (rows.groupBy("digest").agg(F.min("row").alias("x"), F.max("row").alias("y"), F.min("doc_id").alias("first_doc_id"))
-            .filter("x <> y").select("digest", "first_doc_id"))
+def _with_repeats(rows: DataFrame, label: str) -> DataFrame:
+    """The rows whose digest is found in more than one document, with ``first_doc_id``; hot digests are dealt over tasks."""
+    repeated = (rows.groupBy("digest").agg(F.min("row").alias("x"), F.max("row").alias("y"), F.min("doc_id").alias("first_doc_id"),
+                                           F.count(F.lit(1)).alias("_rows"))
+                .filter("x <> y").select("digest", "first_doc_id", "_rows"))
+    repeated = staged(repeated, label)
+    return spread_join(rows, repeated.drop("_rows"), ["digest"], counts=repeated.select("digest", "_rows"))
 
 
 def _runs(rows: DataFrame) -> DataFrame:
@@ -181,14 +186,17 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
     """
     documents = documents.select("doc_id", "text")
     chunks = staged(chunk_cuts(documents), "chunks")
-    shared = staged(chunks.join(_repeated(chunks), "digest").withColumn("first", F.col("last") - ROLL + 1), "repeated")
+    shared = staged(_with_repeats(chunks, "digests").withColumn("first", F.col("last") - ROLL + 1), "repeated")
     numbered = _runs(shared)
     runs = Window.partitionBy("row", "run")
-    sized = staged(numbered.withColumn("n", F.max("last").over(runs) - F.min("first").over(runs) + 1), "runs")
-    # Cuts of short runs, wherever they occur, are checked with whole windows.
-    short = sized.filter(F.col("n") < PASSAGE).select("digest").distinct()
-    windows = staged(passage_windows(documents, sized.join(short, "digest", "left_semi").select("row", "last")), "windows")
-    confirmed = windows.join(_repeated(windows), "digest")
+    begins, ends = F.min("last").over(runs), F.max("last").over(runs)
+    sized = numbered.withColumn("n", ends - F.min("first").over(runs) + 1).withColumn("edge", (F.col("last") == begins) | (F.col("last") == ends))
+    sized = staged(sized, "runs")
+    # Cuts of short runs and those at the ends of long ones, wherever they occur, are checked with whole windows.
+    edges = sized.filter((F.col("n") < PASSAGE) | F.col("edge")).groupBy("digest").agg(F.lit(1).alias("_edge")).select("digest")
+    around = spread_join(sized.select("digest", "row", "last"), edges, ["digest"])
+    windows = staged(passage_windows(documents, around.select("row", "last")), "windows")
+    confirmed = _with_repeats(windows, "window-digests")
     columns = ["row", "doc_id", "first", "last", "start", "end", "first_doc_id"]
     spans = _merged(sized.filter(F.col("n") >= PASSAGE).select(*columns).unionByName(confirmed.select(*columns)))
     return spans.select("doc_id", "start", "end", (F.col("last") - F.col("first") + 1).alias("n_words"), "first_doc_id")
