@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import logging
+import uuid
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 from pyspark.sql import types as T
 
 from terrasift.functions.numeric import is_missing, quoted, to_double
@@ -99,6 +100,25 @@ def row_accounting(df: DataFrame, columns=None) -> DataFrame:
              .withColumn("rows_dropped", F.col("rows_before") - F.col("rows_after"))
 
 
+def observed_accounting(df: DataFrame, columns=None) -> tuple[DataFrame, Observation]:
+    """Complete rows, and an observation of the counts of :func:`row_accounting`.
+
+    The counts are gathered while the returned rows are read by their first action, so
+    writing a cleaned table and accounting for it is one scan. Tasks that are run again count once.
+    """
+    kept = complete(df, columns)
+    seen = Observation(f"rows-{uuid.uuid4().hex}")
+    watched = df.observe(seen, F.count(F.lit(1)).alias("rows_before"), F.count_if(kept).alias("rows_after"))
+    return watched.filter(kept), seen
+
+
+def accounting_row(spark, seen: Observation) -> DataFrame:
+    """The counts of an observation whose action is done, as :func:`row_accounting` gives them."""
+    counts = seen.get
+    before, after = counts["rows_before"], counts["rows_after"]
+    return spark.createDataFrame([(before, after, before - after)], "rows_before long, rows_after long, rows_dropped long")
+
+
 def cast_columns(df: DataFrame, columns) -> DataFrame:
     """Listed columns to double, bad text to null; unknown names are skipped."""
     for name in columns:

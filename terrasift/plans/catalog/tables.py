@@ -215,3 +215,47 @@ def stream_clean_tables(spark, folder):
         incremental.clean_new_tables(spark, f"{root}/in", f"{root}/out", f"{root}/checkpoint",
                                      "p_partkey string, p_size string, p_name string", ["p_partkey", "p_size"])
     return spark.read.parquet(f"{root}/out")
+
+
+@query("clean_while_counting", """
+SELECT count(*) AS rows_before, count(*) FILTER (c_mktsegment <> 'HOUSEHOLD') AS rows_after, count(*) FILTER (c_mktsegment = 'HOUSEHOLD') AS rows_dropped,
+ count(*) FILTER (c_mktsegment <> 'HOUSEHOLD') AS written FROM customer""")
+def clean_while_counting(spark, folder):
+    """A CSV with gaps is cleaned and written; its rows are counted in the same scan."""
+    source, target = scratch_path(spark, "gaps-csv"), scratch_path(spark, "clean-csv")
+    gap = F.when(F.col("c_mktsegment") != "HOUSEHOLD", F.col("c_acctbal"))
+    dirty = table(spark, folder, "customer").select("c_custkey", gap.alias("c_acctbal"))
+    sinks.write_csv(dirty, source)
+    counts = tabular.clean_file(spark, source, target, dirty.schema)
+    return counts.withColumn("written", F.lit(io.read_csv(spark, target, dirty.schema).count()))
+
+
+@query("bad_records", """
+SELECT o_orderstatus AS status, count(*) AS rows, count(*) FILTER (o_orderkey % 7 = 0) AS bad_rows, (3 * count(*) - count(*) FILTER (o_orderkey % 7 = 0))::BIGINT AS read_values, count(*) FILTER (o_orderkey % 7 = 0) > 0 AS has_example
+FROM orders GROUP BY o_orderstatus""")
+def bad_records(spark, folder):
+    """Bad lines per file: one file for each status, in which the price of every seventh order is no number or a field is missing."""
+    target = scratch_path(spark, "bad-lines")
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", F.col("o_totalprice").cast("string").alias("price"))
+    line = F.when(F.col("o_orderkey") % 14 == 0, F.concat_ws(",", "o_orderkey", "price")).when(
+        F.col("o_orderkey") % 7 == 0, F.concat_ws(",", "o_orderkey", F.lit("n/a"), F.lit("x"))).otherwise(F.concat_ws(",", "o_orderkey", "price", F.lit("x")))
+    orders.select("o_orderstatus", line.alias("value")).write.partitionBy("o_orderstatus").text(target)
+    parts = [r["o_orderstatus"] for r in orders.select("o_orderstatus").distinct().collect()]
+    found = None
+    for status in parts:
+        read = io.read_checked(spark, f"{target}/o_orderstatus={status}", "key long, price double, mark string", header=False)
+        counts = io.bad_record_accounting(read).agg(F.sum("rows").alias("rows"), F.sum("bad_rows").alias("bad_rows"), F.sum("read_values").alias("read_values"), F.max(F.col("example").isNotNull()).alias("has_example"))
+        counts = counts.select(F.lit(status).alias("status"), "rows", "bad_rows", "read_values", "has_example")
+        found = counts if found is None else found.unionByName(counts)
+    return found
+
+
+@query("replaced_partitions", """
+SELECT c_mktsegment AS segment, count(*) AS customers, CASE c_mktsegment WHEN 'BUILDING' THEN 2 ELSE 1 END AS version FROM customer GROUP BY c_mktsegment""")
+def replaced_partitions(spark, folder):
+    """A second run over one changed class replaces its directory and no other."""
+    target = scratch_path(spark, "by-segment")
+    customers = table(spark, folder, "customer").select("c_custkey", F.col("c_mktsegment").alias("segment"))
+    sinks.replace_partitions(customers.withColumn("version", F.lit(1)), target, "segment")
+    sinks.replace_partitions(customers.filter("segment = 'BUILDING'").withColumn("version", F.lit(2)), target, "segment")
+    return io.read_table(spark, target).groupBy("segment", "version").agg(F.count(F.lit(1)).alias("customers"))

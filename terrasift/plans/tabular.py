@@ -10,10 +10,10 @@ from terrasift.sources import headers, sinks, sniff, tables
 
 
 def clean_file(spark: SparkSession, source: str, target: str, schema=None, name=None) -> DataFrame:
-    """Read a CSV, drop incomplete rows, write the rest; returns the row accounting."""
-    df = tables.read_csv(spark, source, schema, name=name)
-    sinks.write_csv(quality.drop_missing(df), target)
-    return quality.row_accounting(df)
+    """Read a CSV, drop incomplete rows, write the rest; returns the row accounting, counted while writing."""
+    kept, seen = quality.observed_accounting(tables.read_csv(spark, source, schema, name=name))
+    sinks.write_csv(kept, target)
+    return quality.accounting_row(spark, seen)
 
 
 def build_features(df: DataFrame, spec: DatasetSpec, target: str | None = None, single_file=False) -> DataFrame:
