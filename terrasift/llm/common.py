@@ -53,7 +53,7 @@ def with_rank(df: DataFrame, order: list[Column], name: str = "rank") -> DataFra
             .drop("_range", "_start"))
 
 
-HOT_ROWS = 1_000    # rows of one key that need no dealing
+HOT_ROWS = 5_000    # rows of one key that need no dealing
 HOT_KEYS = 10_000   # keys that can be dealt; a key is hot from this fraction of the rows on, so there are no more of them
 
 

@@ -14,9 +14,9 @@ share a shingle among the first ``n - ceil(0.8 n) + 1`` of each, its prefix.
    whose differing bits are a lower bound of the differing shingles. Groups left
    with a partner are expanded to their classes and verified by their whole sets.
 
-Pairs are not enumerated. In two rounds each bucket of a shingle is compared with
-one pivot group, which joins most near copies; what is then still apart in some
-bucket is compared in cells of two bounded chunks of classes. A cell holds the
+Pairs are not enumerated. Each bucket of a shingle is first compared with one pivot
+group, which joins most near copies; what is then still apart in some bucket is
+compared in cells of two bounded chunks of classes. A cell holds the
 sets of both chunks, finds all overlaps from the common shingles and returns a
 tree of the links, so no link between different texts is lost.
 
@@ -45,7 +45,7 @@ BUCKETS = 1 << 20           # counters of hashed shingles; the driver and every
 SLICE = 1 << 14             # counters that are summed together
 TESTS = 2_048               # groups of one bucket that look for a partner by bitmaps; in larger buckets the others stay untested
 CHUNK_SHINGLES = 200_000    # shingles of the classes on one side of a cell
-ROUNDS = 2                  # of pivots
+ROUNDS = 1                  # of pivots
 CACHED_WORDS = 100_000      # word hashes a task keeps
 MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
