@@ -35,6 +35,7 @@ from terrasift.llm.common import staged
 SAMPLE_PER_LABEL = 4_000
 PAIRS = 40_000
 QUANTILES = 999
+BINS = 1 << 16  # of the range of worths, in which its quantiles are counted
 FEATURES = ("length", "word length", "symbols", "bars", "capitals", "exclamations", "digits", "words seen before", "next word equal",
             "lines equal", "sentences equal", "commonest word", "short words", "windows equal", "punctuated words")
 SYMBOLS, CAPITALS, DIGITS = b"#*$%&<>", bytes(range(65, 91)), b"0123456789"
@@ -136,11 +137,26 @@ def with_worth(documents: DataFrame, fitted) -> DataFrame:
     return documents.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, worth double")
 
 
-def quantile_threshold(worth: DataFrame, labels: DataFrame) -> float:
+def farthest(fitted) -> float:
+    """The largest worth there can be: features are cut at four deviations."""
+    return max(4 * float(np.abs(fitted[2]).sum()), 1e-9)
+
+
+def quantile_cuts(worth: DataFrame, reach: float) -> list[float]:
+    """The ``QUANTILES`` quantiles of all worths, which lie within ``reach`` of 0, to within a ``BINS``-th of that range.
+
+    The worths are counted in bins where they lie; only the counts, at most ``BINS`` + 1 at any size, meet.
+    """
+    place = F.floor((F.col("worth") + F.lit(reach)) / F.lit(2 * reach) * F.lit(BINS)).cast("int")
+    found = worth.groupBy(place.alias("bin")).agg(F.count(F.lit(1)).alias("n")).orderBy("bin").toArrow()
+    bins, upto = found.column(0).to_numpy(), np.cumsum(found.column(1).to_numpy())
+    levels = np.array([(k + 1) / (QUANTILES + 1) for k in range(QUANTILES)]) * upto[-1]
+    return sorted({float(x) for x in (bins[np.searchsorted(upto, levels)] + 1) / BINS * 2 * reach - reach})
+
+
+def quantile_threshold(worth: DataFrame, labels: DataFrame, reach: float) -> float:
     """The quantile of all worths that leaves the fewest training rows on the wrong side."""
-    levels = [(k + 1) / (QUANTILES + 1) for k in range(QUANTILES)]
-    row = worth.agg(F.percentile_approx("worth", levels, 100_000).alias("at")).first()
-    cuts = sorted(set(row["at"]))
+    cuts = quantile_cuts(worth, reach)
     # The position of a worth among the cuts, found on the JVM: how many cuts do not exceed it.
     above = F.size(F.filter(F.array(*[F.lit(x) for x in cuts]), lambda x: x <= F.col("worth")))
     counts = (worth.join(labels, "doc_id").withColumn("bin", above)
@@ -166,10 +182,10 @@ def score_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
         threshold = 0.0
     else:
         rows = staged(with_worth(documents, fitted), "worth")
-        threshold = quantile_threshold(rows, labels)
+        threshold = quantile_threshold(rows, labels, farthest(fitted))
     score = 1 / (1 + F.exp(F.lit(threshold) - F.col("worth")))
-    return rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score.alias("score"),
-                       (F.col("worth") >= threshold).cast("int").alias("predicted"))
+    rows = rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score.alias("score"))
+    return rows.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def keep_good(documents: DataFrame, labels: DataFrame) -> DataFrame:
@@ -178,7 +194,7 @@ def keep_good(documents: DataFrame, labels: DataFrame) -> DataFrame:
     fitted = fit_weights(documents, labels)
     if fitted is None:
         return documents
-    threshold = quantile_threshold(staged(with_worth(documents, fitted), "worth"), labels)
+    threshold = quantile_threshold(staged(with_worth(documents, fitted), "worth"), labels, farthest(fitted))
     mean, scale, weights = fitted
     own = documents.columns
 

@@ -1,8 +1,10 @@
 import zlib
 
+import numpy as np
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
+from terrasift.llm import ranking
 from terrasift.llm.ranking import FEATURES, keep_good, score_documents, text_features
 
 FOLDER = "/root/testdata/sf0.01"
@@ -30,6 +32,15 @@ def test_held_out_labels_are_not_read(spark):
     assert first == {r.doc_id: r.score for r in score_documents(docs, flipped).collect()}
 
 
+def test_quantiles_are_those_of_all_rows(spark):
+    rng = np.random.default_rng(4)
+    values = np.clip(np.concatenate([rng.normal(size=3_000), np.full(2_000, 0.25)]), -8, 8)
+    got = ranking.quantile_cuts(spark.createDataFrame([(float(v),) for v in values], "worth double").repartition(7), 8.0)
+    order = np.sort(values)
+    want = order[np.ceil(np.arange(1, ranking.QUANTILES + 1) / (ranking.QUANTILES + 1) * len(order)).astype(int) - 1]
+    assert all(np.abs(want - g).min() <= 16 / ranking.BINS for g in got) and all(np.abs(np.array(got) - w).min() <= 16 / ranking.BINS for w in want)
+
+
 def test_features():
     assert len(text_features(None)) == len(FEATURES) and text_features(None) == text_features("")
     repeated, plain = (dict(zip(FEATURES, text_features(t))) for t in ("a b " * 50, "one two three four five six seven"))
