@@ -64,6 +64,7 @@ def dataset_names() -> list:
     return sorted({spec.name for spec in _REGISTRY.values()})
 
 
+# Names and aliases of the public datasets.
 register(DatasetSpec("CEN_Center_Earthquake_Catalog", CHINA_FEATURES, CHINA_LABEL, pca_k=4, folds=3,
                      aliases=("中国地震台网地震目录数据集训练",),
                      description="Chinese network catalogue"))
@@ -74,3 +75,4 @@ register(DatasetSpec("Strong_Motion_Parameters_Dataset", STRONG_MOTION_FEATURES,
                      pca_k=9, folds=5, aliases=("强震动参数数据集训练",),
                      description="strong-motion parameters"))
 register(DatasetSpec("Earthquake_disaster_data_list", [], None, description="losses; cleaned only"))
+# End of fixed values.
