@@ -24,4 +24,4 @@ def table(spark, folder: str, name: str):
 
 
 from terrasift.plans.catalog import (  # noqa: E402,F401
-    charts, features, images, metrics, models, quality, splits, tables, text, training, trees)
+    charts, features, images, metrics, models, profiles, quality, splits, tables, text, training, trees)
