@@ -13,10 +13,10 @@ otherwise and which carry notices, sidebars, forms, comments and the like, fille
 with text of other pages. All pages are then extracted whole, row by row.
 
 Defined cases: null or empty html gives an empty text; broken markup is read as
-far as it goes (open elements end where an outer one ends); without a page to
-learn from, tags and attribute tokens alone decide; repeated rows are extracted
-each; an empty table gives an empty result. A line break inside a block is white
-space like any other. Other columns are not read.
+far as it goes (open elements end where an outer one ends), in time that grows with
+its length; without a page to learn from, tags and attribute tokens alone decide;
+repeated rows are extracted each; an empty table gives an empty result. A line break
+inside a block is white space like any other. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -38,8 +38,10 @@ from terrasift.llm.common import staged
 TRAINING_PAGES, VARIANTS = 240, 4
 TREES, DEPTH, STEP = 24, 4, 0.25
 
-TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
+PLAIN = re.compile(r"""<(/?)([a-zA-Z][^\s/>"'<]*+)(?=[\s/>])([^>"'<]*+(?:"[^"<>]*+"[^>"'<]*+|'[^'<>]*+'[^>"'<]*+)*+)>""")
+NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
+SPECIAL = re.compile("""[>"']""")
+LONG_NUMBER = re.compile(r"&#[0-9]{8,};?")
 ATTRIBUTE = re.compile(r"""(class|id|role|data-gold)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
@@ -48,7 +50,7 @@ INLINE = set("a abbr b bdi bdo big cite code data del dfn em font i ins kbd labe
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN = set("script style template noscript title svg math iframe object canvas audio video textarea".split())
 RAW = set("script style textarea title iframe noscript".split())
-RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I) for name in RAW}
+RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in RAW}
 CLOSE_LIKE = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
               "option": {"option"}}
 SCOPES = set("ul ol dl table tbody thead tfoot select html body article section div main".split())
@@ -65,6 +67,68 @@ SEEK = set("article content main body post entry story text hentry prose page bl
 N_FEATURES = 20 + len(GROUPS)
 
 
+class Tags:
+    """Tags, comments and declarations of a page, found in time that grows with its length however broken it is.
+
+    A tag ends at the first ``>`` outside quotes or, where a quote is never closed, at the
+    first ``>``. Quotes that led to no end are remembered, so no later tag follows them again.
+    """
+
+    __slots__ = ("source", "last", "dead")
+
+    def __init__(self, source: str):
+        self.source, self.last, self.dead = source, source.rfind(">"), set()
+
+    def after(self, at: int) -> tuple[int, int, str, str, str] | None:
+        """Start, end, slash, name (empty: not a tag) and attributes of the next one from ``at`` on."""
+        source = self.source
+        while (start := source.find("<", at)) >= 0:
+            if start > self.last:  # nothing ends any more; a comment takes all that is left
+                start = source.find("<!--", start)
+                return None if start < 0 else (start, len(source), "", "", "")
+            if m := PLAIN.match(source, start):
+                return start, m.end(), m[1], m[2], m[3]
+            if source.startswith("<!--", start):
+                end = source.find("-->", start + 2)
+                return start, len(source) if end < 0 else end + 3, "", "", ""
+            if source[start + 1] in "!?":
+                return start, source.find(">", start) + 1, "", "", ""
+            if m := NAME.match(source, start):
+                end = self._end(m.end())
+                return start, end + 1, m[1], m[2], source[m.end():end]
+            at = start + 1
+        return None
+
+    def _end(self, at: int) -> int:
+        source, quotes, place = self.source, [], at
+        while m := SPECIAL.search(source, place):
+            if m[0] == ">":
+                return m.start()
+            if m.start() in self.dead:
+                break
+            quotes.append(m.start())
+            place = source.find(m[0], m.end()) + 1
+            if not place:
+                break
+        self.dead.update(quotes)
+        return source.find(">", at)
+
+    def raw_end(self, name: str, at: int) -> int:
+        """Where the content of a raw element and its end tag are over."""
+        m = RAW_END[name].search(self.source, at)
+        return self.source.find(">", m.end()) + 1 if m and m.end() <= self.last else len(self.source)
+
+
+def decoded(text: str) -> str:
+    """``text`` without character references; numbers beyond all characters give the replacement character."""
+    return html.unescape(LONG_NUMBER.sub(_in_range, text) if "&#" in text else text)
+
+
+def _in_range(m: re.Match) -> str:
+    digits = m[0][2:].rstrip(";").lstrip("0")
+    return f"&#{digits or 0};" if len(digits) < 8 else "\ufffd"
+
+
 class Page:
     """Block-level nodes of a page in document order, and its runs of text.
 
@@ -76,7 +140,11 @@ class Page:
 
     def __init__(self, source: str):
         self.parent, self.tag, self.tokens, self.gold, self.runs = [-1], ["html"], [()], [None], []
-        stack: list[tuple[str, int | None]] = [("html", 0)]
+        # Open elements; for each name the levels it is open at: the number of open blocks
+        # for inline names, of open scopes for blocks. So no search passes what stays open.
+        stack: list[tuple[str, int | None]] = []
+        levels: dict[str, list[int]] = {}
+        blocks, scopes = [0], 0
         node, links, at, fresh = 0, 0, 0, True
         hidden: str | None = None
         depth = 0
@@ -88,25 +156,37 @@ class Page:
             if fresh or not self.runs:
                 self.runs.append([node, [], 0])
                 fresh = False
-            self.runs[-1][1].append(html.unescape(text) if "&" in text else text)
+            self.runs[-1][1].append(decoded(text) if "&" in text else text)
             if links:
                 self.runs[-1][2] += len(text)
 
-        found_tokens = TOKEN.finditer(source)
-        while m := next(found_tokens, None):
-            if m.start() > at:
-                add(source[at:m.start()])
-            at = m.end()
-            name = m[2] or m[5]
+        def leave():
+            nonlocal links, scopes
+            name, block = stack.pop()
+            levels[name].pop()
+            if block is None:
+                links -= name == "a"
+            else:
+                blocks.pop()
+                scopes -= name in SCOPES
+            return name
+
+        def is_open(name, level=None):
+            found = levels.get(name)
+            return bool(found) and (level is None or found[-1] == level)
+
+        tags = Tags(source)
+        while tag := tags.after(at):
+            start, end, closing, name, rest = tag
+            if start > at:
+                add(source[at:start])
+            at = end
             if not name:
                 continue
             name = name.lower()
-            closing, rest = (m[1], m[3]) if m[2] else (m[4], m[6])
             if name in RAW and not closing:
                 if not rest.endswith("/"):  # nothing but its own end tag counts
-                    end = RAW_END[name].search(source, at)
-                    at = end.end() if end else len(source)
-                    found_tokens = TOKEN.finditer(source, at)
+                    at = tags.raw_end(name, at)
                 continue
             if hidden:
                 if name == hidden:
@@ -116,19 +196,13 @@ class Page:
                 continue
             if closing:
                 if name in INLINE:
-                    for k in range(len(stack) - 1, 0, -1):
-                        if stack[k][0] == name:
-                            links -= sum(x[0] == "a" for x in stack[k:])
-                            del stack[k:]
-                            break
-                        if stack[k][1] is not None:
-                            break
-                else:
-                    k = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == name), 0)
-                    if k:
-                        links -= sum(x[0] == "a" for x in stack[k:])
-                        del stack[k:]
-                        node, fresh = next(x[1] for x in reversed(stack) if x[1] is not None), True
+                    if is_open(name, len(blocks)):
+                        while leave() != name:
+                            pass
+                elif is_open(name):
+                    while leave() != name:
+                        pass
+                    node, fresh = blocks[-1], True
                 continue
             if name in VOID:
                 add(" ")
@@ -141,20 +215,19 @@ class Page:
                 continue
             if name in INLINE:
                 stack.append((name, None))
+                levels.setdefault(name, []).append(len(blocks))
                 links += name == "a"
                 continue
             if name in ("html", "head", "body"):  # what a head may hold is hidden or void, so its end need not be found
                 continue
-            likes = CLOSE_LIKE.get(name, ())
-            for k in range(len(stack) - 1, 0, -1):  # a block ends an open paragraph; an item ends the item before
-                if stack[k][0] == "p" or stack[k][0] in likes:
-                    links -= sum(x[0] == "a" for x in stack[k:])
-                    del stack[k:]
-                    if not likes:
-                        break
-                elif stack[k][0] in SCOPES:
-                    break
-            above = next(x[1] for x in reversed(stack) if x[1] is not None)
+            likes = CLOSE_LIKE.get(name, ())  # a block ends an open paragraph; an item ends the items before
+            if likes:
+                while any(is_open(x, scopes) for x in ("p", *likes)):
+                    leave()
+            elif is_open("p", scopes):
+                while leave() != "p":
+                    pass
+            above = blocks[-1]
             found = {key.lower(): value.strip("\"'") for key, value in ATTRIBUTE.findall(rest)} if "=" in rest else {}
             self.parent.append(above)
             self.tag.append(name)
@@ -166,6 +239,9 @@ class Page:
                 node = above
             else:
                 stack.append((name, node))
+                blocks.append(node)
+                scopes += name in SCOPES
+                levels.setdefault(name, []).append(scopes)
         add(source[at:])
         for run in self.runs:
             run[1] = " ".join("".join(run[1]).split())

@@ -1,11 +1,13 @@
+import random
 import re
+import time
 from html import unescape
 
 import numpy as np
 import pytest
 
 from terrasift.llm import pages
-from terrasift.llm.pages import Page, extract_texts, fit_trees, rule_odds, training_variants
+from terrasift.llm.pages import Page, Tags, decoded, extract_texts, fit_trees, rule_odds, training_variants
 
 
 @pytest.fixture(scope="module")
@@ -67,7 +69,7 @@ def test_decoding_is_hierarchical():
 def test_broken_markup():
     page = Page('<p>one<br>two <b>x<p>three<ul><li>a<li>b</ul>&lt;&#233;&nbsp;z <p title="a>b">q</p><a href="x>y">r<script>var t="</p>";</script>s<!-- no --')
     assert [t for _, t, _ in page.runs if t] == ["one two x", "three", "a", "b", "<é z", "q", "rs"]
-    for odd in ("", "<", "<<<>>>", "</p></p>", "<p", "<!--", "<script>", "<p " + "a=\"" * 2000, "<div>" * 3000 + "x", "&#xfffffff; &bogus; &am", "<p>" * 3000):
+    for odd in ("", "<", "<<<>>>", "</p></p>", "<p", "<!--", "<script>", "<p " + "a=\"" * 2000, "<div>" * 3000 + "x", "&#xfffffff; &bogus; &am &#" + "9" * 5000, "<p>" * 3000):
         assert isinstance(Page(odd).text(rule_odds(Page(odd))), str)
 
 
@@ -89,6 +91,39 @@ def test_raw_elements_and_open_heads(before):
     assert [t for _, t, _ in page.runs if t] == ["one", "two"]
 
 
+PLAIN_TAG = re.compile(  # one pattern, which looks at the rest of the page again for every tag
+    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*)>""", re.S)
+
+
+def test_tags_as_one_pattern_finds_them():
+    bits = ["<p>", "</p>", "<a ", "<a \"", "<p x='", "\"", "'", ">", "<", " ", "t", "</", "<!d>", "<!-- c -->", "<!-- ", "<?x ", "<b/>", "<c d=\"e>f\">", "<g'h", "=", "<1>"]
+    draw = random.Random(7)
+    for _ in range(20_000):
+        source = "".join(draw.choices(bits, k=draw.randint(0, 25)))
+        want = [(*m.span(), m[1] or m[4] or "", m[2] or m[5] or "", m[3] or m[6] or "") for m in PLAIN_TAG.finditer(source)]
+        tags, got = Tags(source), []
+        while tag := tags.after(got[-1][1] if got else 0):
+            got.append(tag)
+        assert got == want, source
+    assert [t for _, t, _ in Page("a<!-->b<!--->c").runs] == ["abc"]
+
+
+@pytest.mark.parametrize("unit", ["<a ", "<a \"", "<a \">\" ", "<a '\">\" ", "<!", "<a<b", "</script ", "<script></script ", "<x>", "<b>", "<h1>", "<p>", "<a><p></a>", "&#9"])
+@pytest.mark.parametrize("tail", ["", ">", "\"></p>", "stray", "open"])
+def test_time_grows_with_length(unit, tail):
+    """A megabyte of each takes a second or a few; where every tag looked at all of the rest it took hours."""
+    n = 1_000_000 // len(unit)
+    tail = {"stray": "</p>" * n + "</i>" * n, "open": "<b>" * n + "<h2>" * n + "<li>" * n}.get(tail, tail)
+    start = time.process_time()
+    page = Page((unit * n + tail)[:1_000_000 if len(tail) < 10 else 1_500_000])
+    assert isinstance(page.text(rule_odds(page)), str)
+    assert time.process_time() - start < 60
+
+
+def test_numbers_beyond_characters():
+    assert decoded("&#" + "9" * 5_000 + ";b&#0000000000065;&#x41;&#128512;") == "\ufffdbAA\U0001f600"
+
+
 def test_odd_rows(spark):
     rows = spark.createDataFrame([(1, None, None, 1), (1, None, None, 1), (None, "u", "", 2), (2, "u", "plain text", 3), (3, "u", "<nav>x</nav><p>y</p>", 4)],
                                  "page_id long, url string, html string, text int")
