@@ -57,15 +57,16 @@ HOT_ROWS = 5_000    # rows of one key that need no dealing
 HOT_KEYS = 10_000   # keys that can be dealt; a key is hot from this fraction of the rows on, so there are no more of them
 
 
-def spread_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", counts: DataFrame | None = None) -> DataFrame:
+def spread_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", counts: DataFrame | None = None,
+                hot_rows: int = HOT_ROWS) -> DataFrame:
     """Join in which one key may hold any share of ``left`` (staged, as it is read twice).
 
-    Keys with more rows than ``HOT_ROWS`` and than the ``HOT_KEYS``-th part of all are dealt
+    Keys with more rows than ``hot_rows`` and than the ``HOT_KEYS``-th part of all are dealt
     over several parts, and their rows of ``right`` are repeated for each part. There are at
     most ``HOT_KEYS`` of them, so their list, and it alone, is broadcast. Null keys match nothing.
     ``counts`` (the key and ``_rows``), where it is known already, saves counting.
     """
-    limit = max(HOT_ROWS, left.count() // HOT_KEYS)
+    limit = max(hot_rows, left.count() // HOT_KEYS)
     counts = left.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows")) if counts is None else counts
     counts = counts.filter(F.col("_rows") > limit)
     hot = F.broadcast(staged(counts.select(*on, F.ceil(F.col("_rows") / limit).cast("long").alias("_parts")), "hot"))

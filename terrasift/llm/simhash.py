@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrasift.llm.common import shuffle_partitions, staged
+from terrasift.llm.common import shuffle_partitions, spread_join, staged
 from terrasift.llm.components import components
 
 SHINGLE, SEED, RADIUS = 4, 42, 4
@@ -38,6 +38,7 @@ GROUP_LIMIT = 512   # classes with one block value that a single pass compares;
 TILE = 2048          # classes on a side of a tile
 ROWS_PER_TASK = 30_000
 PENDING = 200_000    # links a task holds before it joins them
+HOT_ROWS = 500       # classes of a component, or documents of a class, that need no dealing
 MEAN_GROUP = 64      # block values are made so wide that unrelated classes meet in groups of about this size
 
 
@@ -191,13 +192,15 @@ def links(classes: DataFrame, group_limit: int = GROUP_LIMIT, tile: int = TILE)
 def simhash_groups(documents: DataFrame, **settings) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id of every document."""
     prints = staged(with_fingerprints(documents), "fingerprints")
-    classes = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
+    classes = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("_rows")), "classes")
     roots = components(links(classes.select("fp"), **settings))
-    lowest = (classes.join(roots.select(F.col("a").alias("fp"), F.col("b").alias("root")), "fp", "left")
-              .withColumn("root", F.coalesce("root", "fp")))
-    ids = lowest.groupBy("root").agg(F.min("least").alias("component_id"))
-    ids = lowest.select("fp", "root").join(ids, "root").select("fp", "component_id")
-    return prints.join(ids, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    lowest = staged(classes.join(roots.select(F.col("a").alias("fp"), F.col("b").alias("root")), "fp", "left")
+                    .select("fp", "least", F.coalesce("root", "fp").alias("root")), "roots")
+    # A component may hold any share of the classes, and a class any share of the documents.
+    ids = staged(lowest.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("_rows")), "components")
+    ids = spread_join(lowest.select("fp", "root"), ids.drop("_rows"), ["root"], counts=ids.select("root", "_rows"), hot_rows=HOT_ROWS)
+    rows = spread_join(prints, ids.select("fp", "component_id"), ["fp"], counts=classes.select("fp", "_rows"), hot_rows=HOT_ROWS)
+    return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_first(documents: DataFrame, **settings) -> DataFrame:

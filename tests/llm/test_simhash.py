@@ -50,6 +50,19 @@ def test_whole_table(spark, small_documents):
     assert len(set(found.values())) < len(found)
 
 
+def test_hot_classes_and_components_are_dealt(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "HOT_ROWS", 2)
+    rng = random.Random(3)
+    base = [f"w{rng.randint(0, 999)}" for _ in range(300)]
+    rows = [(k, " ".join(base)) for k in range(40)]
+    for k in range(40, 80):  # near copies of many fingerprints, in one component
+        rows.append((k, " ".join(base[:k] + ["x"] + base[k + 1:])))
+    rows += [(k, " ".join(f"v{rng.randint(0, 999)}" for _ in range(50))) for k in range(80, 100)] + [(100, None), (101, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = check(simhash_groups(docs), rows)
+    assert len(set(found.values())) < 60
+
+
 def fingerprints(spark, values):
     signed = [(v - (1 << 64) if v >> 63 else v,) for v in values]
     return spark.createDataFrame(signed, "fp long")
