@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from terrasift.functions.hashing import row_hash, unit_interval
 from terrasift.functions.numeric import quoted
-from terrasift.operators import metrics, splits
+from terrasift.operators import counted, metrics, splits
 from terrasift.operators.features import feature_stages
 from terrasift.operators.quality import cast_columns, drop_missing, require_columns, require_rows
 from terrasift.registry import DatasetSpec
@@ -123,6 +123,23 @@ def cross_validate(df, estimator, values, label, key_cols, folds=3, seed=MODEL_S
         return _validate(rows, estimator, values, label, folds, seed, parallelism)
 
 
+def fit_best(df: DataFrame, estimator, values, label, key_cols, folds=3, seed=MODEL_SEED):
+    """The estimator, or the best cell of its grid by RMSE, fitted on all rows.
+
+    Boosted trees and forests of large tables are fitted on counted bins, others on the rows.
+    """
+    features = estimator.getFeaturesCol()
+    bins = counted.settle(df, features, estimator.getMaxBins(), counted.least_rows(estimator)) if _counts(estimator) else None
+    if bins:
+        return counted.tune(with_folds(df, key_cols, folds, seed), bins, estimator, values or {}, label, [*key_cols, features], folds, FOLD)
+    return cross_validate(df, estimator, values, label, key_cols, folds, seed).bestModel if values else fit(estimator, df)
+
+
+def _counts(estimator) -> bool:
+    """A single tree reads the rows a few times only, so it is fitted on them."""
+    return not isinstance(estimator, DecisionTreeRegressor) and counted.suits(estimator)
+
+
 def cv_report(spark: SparkSession, cv_model) -> DataFrame:
     """Mean RMSE per grid cell; ``best`` marks the chosen one."""
     scores = list(cv_model.avgMetrics)

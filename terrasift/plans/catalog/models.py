@@ -125,7 +125,7 @@ def _scored(spark, folder, estimator, values=None):
     """Fit on the training rows, over a grid if there is one, and score the others."""
     df = features.assemble(_items(spark, folder), MEASURES, "features")
     train, test = splits.random_parts(df, KEYS)
-    model = ops.cross_validate(train, estimator, values, LABEL, KEYS).bestModel if values else ops.fit(estimator, train)
+    model = ops.fit_best(train, estimator, values, LABEL, KEYS)
     return model.transform(test).select("l_orderkey", "l_linenumber", LABEL, "prediction")
 
 
