@@ -14,10 +14,17 @@ from terrasift.functions.numeric import quoted
 HEX_DIGITS = 8
 
 
-def row_hash(key_cols, seed) -> Column:
+def key_text(key_cols) -> Column:
     texts = [quoted(c).cast("string") for c in key_cols]
-    parts = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("null")) for t in texts]
-    return F.md5(F.concat_ws("|", F.lit(str(seed)), *parts).cast("binary"))
+    return F.concat_ws("|", *[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("null")) for t in texts])
+
+
+def seeded_hash(seed: Column, text: Column) -> Column:
+    return F.md5(F.concat_ws("|", seed, text).cast("binary"))
+
+
+def row_hash(key_cols, seed) -> Column:
+    return seeded_hash(F.lit(str(seed)), key_text(key_cols))
 
 
 def unit_interval(hash_col: Column) -> Column:

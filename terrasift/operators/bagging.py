@@ -10,7 +10,6 @@ candidate is sampled either.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from math import exp, factorial
 from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel, inheritable_thread_target
@@ -18,20 +17,14 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from terrasift.functions.hashing import row_hash, unit_interval
+from terrasift.functions.hashing import key_text, row_hash, seeded_hash, unit_interval
 from terrasift.functions.numeric import quoted
+from terrasift.operators import counted
+from terrasift.operators.counted import MOST_COPIES, POISSON, copies  # noqa: F401
 from terrasift.operators.models import CV_PARALLELISM, MODEL_SEED
 from terrasift.operators.quality import require_columns
 from terrasift.operators.ranks import exact_quantiles
-
-MOST_COPIES = 12  # a draw above it has probability below 1e-9, less than the 32 bits of the hash can tell apart
-POISSON = [sum(exp(-1.0) / factorial(i) for i in range(k + 1)) for k in range(MOST_COPIES)]
-
-
-def copies(draw: Column) -> Column:
-    """Poisson number with mean 1 for a uniform draw: how many cumulative probabilities it reaches."""
-    return sum((F.when(draw >= F.lit(p), 1).otherwise(0) for p in POISSON), F.lit(0)).cast("double")
-
+from terrasift.session import stage_table
 
 def tree_weight(key_cols, tree: int, seed=MODEL_SEED) -> Column:
     return copies(unit_interval(row_hash(key_cols, f"{seed}.{tree}")))
@@ -67,13 +60,21 @@ class HashedForest:
         return F.size(F.filter(F.array(*[F.lit(float(c)) for c in cuts]), lambda c: c < value)).cast("double")
 
     def transform(self, df: DataFrame, output: str = "prediction") -> DataFrame:
-        """Add the mean of the trees' predictions."""
-        scored, names = self._features(df, "_bagged"), [f"_tree{t}" for t in range(len(self.trees))]
-        for tree, name in zip(self.trees, names):
-            tree.setFeaturesCol("_bagged").setPredictionCol(name)
-            scored = tree.transform(scored)
-        mean = sum((F.col(name) for name in names[1:]), F.col(names[0])) / len(names)
-        return scored.withColumn(output, mean).drop("_bagged", *names)
+        """Add the mean of the trees' predictions.
+
+        Where rows share their bins, the trees predict every combination once and the rows are joined with it.
+        """
+        bins = counted.Bins(self.columns, len(self.columns), {})
+        placed = df.select("*", *[F.coalesce(self._binned(c), F.lit(float("nan"))).alias(n) for c, n in zip(self.columns, bins.names)])
+        facts = placed.agg(F.count(F.lit(1)), F.approx_count_distinct(F.xxhash64(*bins.names))).first()
+        if facts[1] * counted.ROWS_PER_GROUP > facts[0]:
+            return self._scored(placed, bins, output).drop(*bins.names)
+        found = self._scored(stage_table(placed.select(*bins.names).distinct(), "combinations"), bins, output)
+        scores = stage_table(found, "combination-scores")
+        return placed.join(scores, bins.names, "left").select(*[quoted(c) for c in df.columns], output)
+
+    def _scored(self, placed: DataFrame, bins, output: str) -> DataFrame:
+        return counted.CountedModel(bins, self.trees, {}).scored(placed, output)
 
     def save(self, path: str) -> None:
         """One saved tree per folder; the columns and cuts are rows of a small table."""
@@ -96,22 +97,42 @@ def fit_hashed_forest(df: DataFrame, columns, label: str, key_cols, trees: int =
     Rows with equal keys share their draws, so keys should tell rows apart. ``features_per_split`` is MLlib's
     ``featureSubsetStrategy``; ``auto`` means a third of the columns.
     """
-    columns = list(columns)
+    columns, bins_asked = list(columns), bins
     require_columns(df, [*columns, label, *key_cols])
     forest = HashedForest(columns, quantile_cuts(df, columns, bins), [])
     subset = "onethird" if features_per_split == "auto" and len(columns) > 1 else features_per_split
     needed = [quoted(c) for c in dict.fromkeys([*columns, label, *key_cols])]
+    bins = counted.Bins(columns, len(columns), {})
+    placed = df.select(*needed).select("*", *[F.coalesce(forest._binned(c), F.lit(float("nan"))).alias(n) for c, n in zip(columns, bins.names)])
+    facts = placed.agg(F.count(F.lit(1)), F.approx_count_distinct(F.xxhash64(*bins.names))).first()
+    spark = df.sparkSession
+
+    def tree_fit(tree: int, bag: DataFrame, at: str, of: str, weight: str):
+        return RandomForestRegressor(
+            featuresCol=at, labelCol=of, weightCol=weight, numTrees=1, bootstrap=False, maxBins=max(bins_asked, 2) + 4,
+            featureSubsetStrategy="all" if subset == "auto" else subset, seed=seed + tree, **params).fit(bag)
+
+    if facts[1] * counted.ROWS_PER_GROUP <= facts[0] and params.get("minInstancesPerNode", 1) == 1:
+        # The draws of all trees are counted by bins in one pass; a tree's fit then reads its counts.
+        rows = placed.select(*bins.names, counted._label(label).alias("_y"), key_text(key_cols).alias(counted.ROW_KEY))
+        hashed = seeded_hash(F.concat(F.lit(f"{seed}."), F.col(counted.TREE).cast("string")), F.col(counted.ROW_KEY))
+        for batch, read in counted.bag_batches(rows, bins, unit_interval(hashed), trees):
+            def one(tree, read=read):
+                part, size = read(tree)
+                return tree_fit(tree, counted.fit_rows(bins, part, size), counted.BINNED, counted.MEAN, counted.ROWS)
+            with ThreadPool(min(parallelism, len(batch))) as pool:
+                forest.trees += pool.map(inheritable_thread_target(spark)(one), batch, chunksize=1)
+        return forest
+
     rows = forest._features(df.select(*needed), "_bagged").persist(StorageLevel.MEMORY_AND_DISK)
 
     def fit(tree: int):
         bag = rows.withColumn("_weight", tree_weight(key_cols, tree, seed)).filter("_weight > 0").select("_bagged", quoted(label), "_weight")
-        return RandomForestRegressor(
-            featuresCol="_bagged", labelCol=label, weightCol="_weight", numTrees=1, bootstrap=False, maxBins=max(bins, 2) + 4,
-            featureSubsetStrategy="all" if subset == "auto" else subset, seed=seed + tree, **params).fit(bag)
+        return tree_fit(tree, bag, "_bagged", label, "_weight")
 
     try:
         with ThreadPool(min(parallelism, trees)) as pool:
-            forest.trees = pool.map(inheritable_thread_target(df.sparkSession)(fit), range(trees))
+            forest.trees = pool.map(inheritable_thread_target(spark)(fit), range(trees))
     finally:
         rows.unpersist()
     return forest
