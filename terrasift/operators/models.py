@@ -172,14 +172,21 @@ def leaderboard(train: DataFrame, test: DataFrame, models: dict, label: str, key
     models do not depend on each other and are fitted side by side.
     """
     spark = train.sparkSession
-    train = with_folds(train, key_cols, folds)
-    with training_rows(train, ["features", label, FOLD]) as train, training_rows(test, ["features", label]) as test:
+    whole = with_folds(train, key_cols, folds)
+    # Trees of any kind read the rows of a large table as counted bins, by their own number of bins.
+    wanted = {(e.getMaxBins(), counted.least_rows(e)) for e, _ in models.values() if counted.suits(e)}
+    settled = {key: counted.settle(whole, "features", *key) for key in wanted}
+    with training_rows(whole, ["features", label, FOLD]) as train, training_rows(test, ["features", label]) as test:
         def compare(entry):
             name, (estimator, values) = entry
             try:
-                fitted = (_validate(train, estimator, values, label, folds).bestModel if values
-                          else estimator.fit(train))
-                chosen = ", ".join(f"{p}={fitted.getOrDefault(p)}" for p in sorted(values))
+                bins = settled[estimator.getMaxBins(), counted.least_rows(estimator)] if counted.suits(estimator) else None
+                if bins:
+                    fitted = counted.tune(whole, bins, estimator, values, label, [*key_cols, "features"], folds, FOLD)
+                else:
+                    fitted = (_validate(train, estimator, values, label, folds).bestModel if values
+                              else estimator.fit(train))
+                chosen = ", ".join(f"{p}={fitted.chosen[p] if bins else fitted.getOrDefault(p)}" for p in sorted(values))
                 row = metrics.regression_report(fitted.transform(test), label).first()
                 return name, row["rmse"], row["accuracy"], chosen, "ok"
             except (PySparkException, Py4JJavaError, ValueError) as err:
