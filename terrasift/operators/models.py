@@ -208,8 +208,13 @@ def train_and_score_all(df: DataFrame, spec: DatasetSpec, key_cols=None, trees=A
     require_rows(ready, 2, spec.name)
     marked = splits.holdout_split(ready, key_cols or ready.columns)
     stages = feature_stages(spec.features, scale=False, normalize=False)
-    with training_rows(marked.filter(F.col("split") == "train"), spec.required) as train:
-        model = Pipeline(stages=[*stages, random_forest(spec.label, numTrees=trees, **params)]).fit(train)
+    forest, chosen = random_forest(spec.label, numTrees=trees, **params), marked.filter(F.col("split") == "train")
+    bins = counted.settle(chosen, spec.features, forest.getMaxBins(), counted.least_rows(forest)) if counted.suits(forest) else None
+    if bins:
+        model = counted.tune(chosen, bins, forest, {}, spec.label, ready.columns, 0, FOLD)
+    else:
+        with training_rows(chosen, spec.required) as train:
+            model = Pipeline(stages=[*stages, forest]).fit(train)
     scored = model.transform(marked)
     held_out = metrics.rmse(scored.filter(F.col("split") == "test"), spec.label)
     return scored.select(*[quoted(c) for c in df.columns], "split", "prediction"), held_out
