@@ -79,15 +79,17 @@ class Bins:
         return df.select("*", *[F.coalesce(v, F.lit(float("nan"))).alias(n) for v, n in zip(found, self.names)]).drop("_elements")
 
     def add(self, df: DataFrame) -> DataFrame:
-        """Add ``_bin<k>``; NaN is in the last bin of a cut column, as for MLlib."""
+        """Add ``_bin<k>``. NaN stays NaN, which MLlib's fits refuse and its trees predict from the right."""
         cut = [n for n in self.names if self.cuts.get(n)]
         valued = self.values(df)
         if not cut:
             return valued
-        top = valued.withColumns({n: F.when(F.isnan(n), F.lit(math.inf)).otherwise(F.col(n)) for n in cut})
+        top = valued.withColumns({f"{n}_was": F.col(n) for n in cut} | {n: F.when(F.isnan(n), F.lit(math.inf)).otherwise(F.col(n)) for n in cut})
         out = [f"{n}_at" for n in cut]
         placed = Bucketizer(splitsArray=[[-math.inf, *self.cuts[n], math.inf] for n in cut], inputCols=cut, outputCols=out).transform(top)
-        return placed.drop(*cut).withColumnsRenamed(dict(zip(out, cut)))
+        held = valued.columns
+        kept = [F.when(F.isnan(f"{n}_was"), F.col(f"{n}_was")).otherwise(F.col(f"{n}_at")).alias(n) if n in cut else quoted(n) for n in held]
+        return placed.select(*kept)
 
     def vectors(self, df: DataFrame) -> DataFrame:
         return VectorAssembler(inputCols=self.names, outputCol=BINNED, handleInvalid="keep").transform(df)
