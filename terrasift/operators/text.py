@@ -59,11 +59,12 @@ def weighted_terms(df: DataFrame, key_cols, text_col: str, top: int | None = Non
     """
     key_cols = list(key_cols)
     require_columns(df, [*key_cols, text_col])
-    counts, documents = document_frequencies(df, text_col, min_docs, **options)
-    counts = stage_table(counts, "term-frequencies")
     rows = df.select(*[quoted(k) for k in key_cols], F.inline(term_counts(quoted(text_col), **options)))
-    rows = stage_table(rows, "term-counts")
-    joined = spread_join(rows, counts, ["term"], hot_rows=hot_rows)
+    rows, documents = stage_table(rows, "term-counts"), df.count()
+    # A row holds a term once, so the rows of a term are its document frequency and what the join deals by.
+    counts = stage_table(rows.groupBy("term").agg(F.count(F.lit(1)).alias("_rows")), "term-frequencies")
+    frequent = counts.select("term", F.col("_rows").alias("df")).filter(F.col("df") >= min_docs)
+    joined = spread_join(rows, frequent, ["term"], hot_rows=hot_rows, counts=counts.filter("term IS NOT NULL"))
     weight = (F.col("tf") * inverse_frequency(documents, F.col("df"))).alias("weight")
     weighed = joined.select(*[quoted(k) for k in key_cols], "term", "tf", "df", weight)
     order = Window.partitionBy(*[quoted(k) for k in key_cols]).orderBy(F.desc(F.round("weight", 9)), "term")

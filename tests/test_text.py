@@ -64,3 +64,12 @@ def test_frequent_terms_are_dealt(spark):
         spark.createDataFrame([("of", 2)], "k string, v int"))
     for how in ("inner", "left"):
         assert sorted(map(str, spread_join(left, right, ["k"], how, 100).collect())) == sorted(map(str, left.join(right, ["k"], how).collect()))
+
+
+def test_weights_split_every_text_once(spark, monkeypatch):
+    def again(*args, **options):
+        raise AssertionError("the texts are split again")
+    monkeypatch.setattr(text, "document_frequencies", again)
+    df = spark.createDataFrame([(1, "a b a"), (2, "b c"), (3, None)], "id int, t string")
+    found = {(r.id, r.term): (r.tf, r.df) for r in text.weighted_terms(df, ["id"], "t").collect()}
+    assert found == {(1, "a"): (2, 1), (1, "b"): (1, 2), (2, "b"): (1, 2), (2, "c"): (1, 1)}
