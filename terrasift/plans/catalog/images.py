@@ -13,6 +13,7 @@ from terrasift.session import scratch_path
 from terrasift.sources import images
 
 SIDE = 8
+FILES_PER_TASK = 1_000
 
 
 def _level(x):
@@ -67,13 +68,18 @@ def image_decode(spark, folder):
     """Bitmap files in class directories, decoded by the image source."""
     # Header of an 8x8 24-bit bitmap; rows are stored bottom-up.
     header = "424DF6000000000000003600000028000000080000000800000001001800000000" "00C0000000" + "00" * 16
-    files = table(spark, folder, "embeddings").select(
+    vectors = table(spark, folder, "embeddings")
+    files = vectors.select(
+        "vec_id",
         F.unhex(F.concat(F.lit(header), _bytes(lambda line: (SIDE - 1) - line))).alias("content"),
         (F.col("vec_id") % 10).alias("label"))
     target = scratch_path(spark, "bitmaps")
     # One file a row, as text with a newline that image decoders ignore: only this check needs such files.
-    (files.repartition(8, "content").select(F.col("content").cast("string").alias("value"), "label")
-     .write.option("maxRecordsPerFile", 1).partitionBy("label").text(target))
+    # Tasks grow with the rows and place their files themselves; the driver would move them one by one.
+    tasks = max(8, -(-vectors.count() // FILES_PER_TASK))
+    (files.repartition(tasks, "content", "vec_id").select(F.col("content").cast("string").alias("value"), "label")
+     .write.option("maxRecordsPerFile", 1).option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+     .partitionBy("label").text(target))
     found = images.with_class(images.scan_images(spark, target, ["txt"]), [str(i) for i in range(10)])
     weight = F.col("y") * SIDE + F.col("x") + 1
     sums = ops.pixel_table(found, ["label"]).groupBy("path", "label", "c").agg(

@@ -164,3 +164,14 @@ def test_grey_and_alpha():
 def test_unknown_step_is_an_error_row(spark, image_tree):
     out = pixels.preprocess(images.scan_images(spark, image_tree), pixels.ImageOptions(steps=("sharpen",)))
     assert out.filter(F.col("status") == "error").count() == 3
+
+
+def test_tasks_that_write_pictures_grow_with_them(spark, tmp_path, monkeypatch):
+    from terrasift.plans.catalog import images as catalog
+    spark.range(60).selectExpr("id AS vec_id", "0 AS label", "transform(sequence(1, 64), i -> float(i + id) / 200) AS embedding").write.parquet(str(tmp_path / "embeddings.parquet"))
+    kind, asked = type(spark.range(1)), []
+    inner = kind.repartition
+    monkeypatch.setattr(kind, "repartition", lambda self, n, *cols: asked.append(n) or inner(self, n, *cols))
+    monkeypatch.setattr(catalog, "FILES_PER_TASK", 5)
+    assert catalog.image_decode(spark, str(tmp_path)).groupBy().sum("pictures").first()[0] == 180
+    assert 12 in asked
