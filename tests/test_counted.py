@@ -80,3 +80,14 @@ def test_hashed_forest_fits_counts_not_rows(rows, monkeypatch):
     monkeypatch.setattr(counted, "ROWS_PER_GROUP", math.inf)
     plain = bagging.fit_hashed_forest(rows, ["a", "b"], "y", ["id"], trees=3, maxDepth=3)
     assert scores(forest.transform(rows)) == pytest.approx(scores(plain.transform(rows)), abs=1e-9)
+
+
+def test_leaderboard_fits_trees_on_counts(rows, monkeypatch):
+    monkeypatch.setattr(counted, "least_rows", lambda estimator: 0)
+    monkeypatch.setattr(models, "_validate", None)
+    entries = {"tree": (models.decision_tree("y"), {"maxDepth": [1, 4]}), "forest": (models.random_forest("y"), {"numTrees": [2, 3]}),
+               "boosted": (models.boosted_trees("y", maxIter=3, maxDepth=3), {})}
+    train, test = rows.filter("id % 5 > 0"), rows.filter("id % 5 = 0")
+    board = {r["model"]: r for r in models.leaderboard(train, test, entries, "y", ["id"]).collect()}
+    assert {r["status"] for r in board.values()} == {"ok"} and board["tree"]["params"] == "maxDepth=4"
+    assert all(r["rmse"] < 0.5 * test.agg(F.stddev_pop("y")).first()[0] for r in board.values())
