@@ -64,7 +64,9 @@ def rf_hash_bagging(spark, folder):
     """A bootstrap forest of depth 1: bags, splits and leaves as SQL finds them from the hashes of the rows."""
     df = _items(spark, folder)
     forest = bagging.fit_hashed_forest(df, ["l_quantity"], LABEL, KEYS, trees=TREES, bins=64, maxDepth=1)
-    return forest.transform(df).select("l_orderkey", "l_linenumber", F.round("prediction", 6).alias("prediction"))
+    # As in the SQL, rows with equal keys are one row with the mean of their predictions.
+    scored = forest.transform(df).groupBy(*KEYS).agg(F.round(F.avg("prediction"), 6).alias("prediction"))
+    return scored.select("l_orderkey", "l_linenumber", "prediction")
 
 
 @query("rf_hash_bagging_deep")
