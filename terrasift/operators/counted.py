@@ -14,14 +14,14 @@ None, and the rows themselves are fitted.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from math import exp, factorial
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml.feature import Bucketizer, VectorAssembler
-from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, RandomForestRegressor
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor, GBTRegressor, RandomForestRegressor
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from terrasift.functions.numeric import quoted
 from terrasift.functions.vectors import vector_to_array
@@ -187,6 +187,7 @@ class CountedModel:
     bins: Bins
     models: list
     chosen: dict
+    errors: list = field(default_factory=list)  # mean RMSE of every cell of the grid
 
     def scored(self, df: DataFrame, output="prediction", many=()) -> DataFrame:
         """Predict for rows that have the bins; ``many`` adds the mean of the first trees, for each number in it."""
@@ -312,4 +313,22 @@ def tune(train: DataFrame, bins: Bins, estimator, values: dict, label: str, key_
     best = min(range(len(maps)), key=lambda k: (math.isnan(means[k]), means[k], k)) if values else 0
     kind, number = next((kind, n) for kind, cells in kinds.items() for k, n, _ in cells if k == best)
     final = fitted([(kind, None, number)])[kind, None]
-    return CountedModel(bins, final, {p.name: v for p, v in maps[best].items()})
+    return CountedModel(bins, final, {p.name: v for p, v in maps[best].items()}, means)
+
+
+def tree_on_values(found: CountedModel, estimator):
+    """The only tree of ``found`` as a fit of ``estimator`` on the rows would return it: it splits values, not bins."""
+    jvm, root = SparkSession.active()._jvm.org.apache.spark.ml, found.models[0]._java_obj.rootNode()
+
+    def node(at):
+        if at.getClass().getSimpleName() == "LeafNode":
+            return at
+        split = at.split()
+        k, threshold = split.featureIndex(), split.threshold()
+        cuts = found.bins.cuts.get(found.bins.names[k])
+        if cuts:  # bins up to the threshold hold what is below the cut after them
+            threshold = math.nextafter(cuts[math.floor(threshold)], -math.inf)
+        return jvm.tree.InternalNode(at.prediction(), at.impurity(), at.gain(), node(at.leftChild()), node(at.rightChild()),
+                                     jvm.tree.ContinuousSplit(k, threshold), at.impurityStats())
+    model = DecisionTreeRegressionModel(jvm.regression.DecisionTreeRegressionModel(estimator.uid, node(root), found.bins.width))
+    return estimator._copyValues(model)

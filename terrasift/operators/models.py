@@ -14,7 +14,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.regression import (
     DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor)
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from terrasift.functions.hashing import row_hash, unit_interval
@@ -117,8 +117,20 @@ def _validate(rows, estimator, values, label, folds, seed=MODEL_SEED, parallelis
 
 
 def cross_validate(df, estimator, values, label, key_cols, folds=3, seed=MODEL_SEED, parallelism=CV_PARALLELISM):
-    """Fit the grid by RMSE; returns a ``CrossValidatorModel``."""
+    """Fit the grid by RMSE; returns a ``CrossValidatorModel``.
+
+    Single trees of large tables are fitted on counted bins, the best one then
+    reads the features as they are.
+    """
     folded = with_folds(df, key_cols, folds, seed)
+    if values and isinstance(estimator, DecisionTreeRegressor) and counted.suits(estimator):
+        bins = counted.settle(df, estimator.getFeaturesCol(), estimator.getMaxBins())
+        if bins:
+            found = counted.tune(folded, bins, estimator, values, label, key_cols, folds, FOLD)
+            maps = grid(estimator, values)
+            best = estimator.copy(next(m for m in maps if {p.name: v for p, v in m.items()} == found.chosen))
+            validated = CrossValidatorModel(counted.tree_on_values(found, best), found.errors)
+            return validated._set(estimatorParamMaps=maps, numFolds=folds, seed=seed, foldCol=FOLD)
     with training_rows(folded, [estimator.getFeaturesCol(), label, FOLD]) as rows:
         return _validate(rows, estimator, values, label, folds, seed, parallelism)
 
