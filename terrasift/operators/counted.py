@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass, field
-from math import exp, factorial
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
@@ -25,6 +24,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from terrasift.functions.numeric import quoted
 from terrasift.functions.vectors import vector_to_array
+from terrasift.operators import draws
+from terrasift.operators.draws import MOST_COPIES, POISSON
 from terrasift.operators.ranks import exact_quantiles
 from terrasift.session import scratch_path, stage_table
 
@@ -32,11 +33,11 @@ LEAST_ROWS = 100_000     # smaller tables are fitted row by row
 LEAST_BAGGED = 1_000_000  # as LEAST_ROWS, for forests with bags: each of their trees is a fit of its own
 ROWS_PER_GROUP = 8       # rows that a combination of bins must hold on average
 BAG_ROWS = 4_000_000     # counted rows of all trees that are bagged in one pass
+DEAL_GROUPS = 20_000     # combinations of bins from which on rows are dealt by them before they are bagged
 FIT_ROWS = 20_000        # counted rows in a partition of a fit
+TREE_ROWS = 250_000      # as FIT_ROWS, for the trees of a forest, many of which are fitted at a time
 PARALLELISM = 8          # fits side by side; each is a run of small jobs
 ROWS, MEAN, SPREAD, TREE, ROW_KEY, BINNED = "_rows", "_mean", "_spread", "_tree", "_row_key", "_binned"
-MOST_COPIES = 12  # a draw above it has probability below 1e-9, less than the 32 bits of a hash can tell apart
-POISSON = [sum(exp(-1.0) / factorial(i) for i in range(k + 1)) for k in range(MOST_COPIES)]
 
 
 def copies(draw: Column) -> Column:
@@ -64,6 +65,7 @@ class Bins:
     features: object
     width: int
     cuts: dict
+    rows: int = 0  # of the table they were settled on
 
     @property
     def names(self) -> list:
@@ -108,6 +110,7 @@ def settle(df: DataFrame, features, bins: int, least: int = LEAST_ROWS) -> Bins
     facts = valued.agg(F.count(F.lit(1)).alias("rows"), *[F.approx_count_distinct(n).alias(n) for n in found.names]).first()
     if facts["rows"] < least:
         return None
+    found.rows = facts["rows"]
     wide = [n for n in found.names if facts[n] * 1.15 > bins]
     found.cuts = {n: [c for c in cuts if math.isfinite(c)] for n, cuts in cuts_of(valued.select(*wide), wide, bins).items()} if wide else {}
     groups = math.prod(min(bins, facts[n] * 1.15) for n in found.names)
@@ -158,12 +161,25 @@ def count_bags(rows: DataFrame, bins: Bins, trees, chance: Column, by=()) -> str
     """
     each = rows.select("*", F.explode(F.array(*[F.lit(t) for t in trees])).alias(TREE))
     drawn = each.select(TREE, *by, *bins.names, "_y", chance.alias("_u")).select(TREE, *by, *bins.names, "_y", copies(F.col("_u")).alias("_w"))
-    counts = drawn.groupBy(TREE, *by, *bins.names).agg(F.sum("_w").alias(ROWS), F.sum(F.col("_w") * F.col("_y")).alias("_s")).filter(F.col(ROWS) > 0)
-    path = scratch_path(rows.sparkSession, "bags")
-    counts.withColumn(MEAN, F.col("_s") / F.col(ROWS)).drop("_s").repartition(TREE).write.partitionBy(TREE).parquet(path)
+    return write_bags(drawn.select(TREE, *by, *bins.names, F.col("_w").alias(ROWS), (F.col("_w") * F.col("_y")).alias(draws.SUM)), bins, by)
+
+
+def write_bags(drawn: DataFrame, bins: Bins, by=()) -> str:
+    """Folder with a part for each tree: rows and mean label of every combination, from parts of their sums."""
+    counts = drawn.groupBy(TREE, *by, *bins.names).agg(F.sum(ROWS).alias(ROWS), F.sum(draws.SUM).alias(draws.SUM)).filter(F.col(ROWS) > 0)
+    path = scratch_path(drawn.sparkSession, "bags")
+    counts.withColumn(MEAN, F.col(draws.SUM) / F.col(ROWS)).drop(draws.SUM).repartition(TREE).write.partitionBy(TREE).parquet(path)
     return path
 
 
+def _reader(spark, path: str):
+    """Reader of a tree's counted rows and their number."""
+    def read(tree):
+        part = spark.read.parquet(f"{path}/{TREE}={tree}")
+        return part, part.count()
+    return read
+
+
 def _ready(estimator, total: float, **params):
     """The estimator on counted rows: least rows of a node become a least weight."""
     out = estimator.copy(params.pop("extra", {}))
@@ -214,29 +230,41 @@ def _side_by_side(spark, work, items) -> list:
         return pool.map(inheritable_thread_target(spark)(work), items, chunksize=1)
 
 
-def fit_rows(bins: Bins, df: DataFrame, rows: int) -> DataFrame:
+def fit_rows(bins: Bins, df: DataFrame, rows: int, each: int = FIT_ROWS) -> DataFrame:
     """Counted rows as a fit reads them, dealt by their bins."""
-    return bins.vectors(df.repartition(max(1, -(-rows // FIT_ROWS)), *bins.names))
+    parts = max(1, -(-rows // each))
+    return bins.vectors(df.repartition(parts, *bins.names) if parts > 1 else df.coalesce(1))
 
 
-def bag_trees(df: DataFrame, bins: Bins, label: str, key_cols, seed: int, count: int, by=()):
-    """Yield (trees, reader of a tree's counted rows), as many trees at a time as ``BAG_ROWS`` allows."""
-    rows = bins.add(df).select(*by, *bins.names, _label(label).alias("_y"), row_key([*dict.fromkeys([*key_cols, label])]).alias(ROW_KEY))
-    yield from bag_batches(rows, bins, draw(seed), count, by)
+def bag_rows(df: DataFrame, bins: Bins, label: str, key_cols, seed: int, groups: int, by=()) -> DataFrame:
+    """Rows as their draws read them, staged; with many combinations of bins, those of one lie together.
+
+    A hot combination is dealt over tasks by the hash of its rows. ``df`` may hold that hash in ``_row_key``.
+    """
+    key = F.col(ROW_KEY) if ROW_KEY in df.columns else row_key([*dict.fromkeys([*key_cols, label])]).alias(ROW_KEY)
+    placed = bins.add(df.select("*", key) if ROW_KEY not in df.columns else df)
+    rows = placed.select(*by, *bins.names, _label(label).alias(draws.LABEL), F.xxhash64(F.lit(seed), F.col(ROW_KEY)).alias(draws.BASE),
+                         F.xxhash64(*by, *bins.names).alias(draws.GROUP))
+    if groups >= DEAL_GROUPS:
+        rows = rows.repartitionByRange(max(1, -(-bins.rows // draws.CHUNK_ROWS)), draws.GROUP, draws.BASE)
+    return stage_table(rows, "bag-rows")
+
+
+def bag_trees(rows: DataFrame, bins: Bins, groups: int, count: int, by=()):
+    """Yield (trees, reader of a tree's counted rows) of :func:`bag_rows`, as many trees at a time as ``BAG_ROWS`` allows."""
+    step = max(1, BAG_ROWS // max(1, groups))
+    for done in range(0, count, step):
+        trees = range(done, min(count, done + step))
+        drawn = draws.drawn_sums(rows, [*by, *bins.names], trees, TREE, ROWS)
+        yield trees, _reader(rows.sparkSession, write_bags(drawn, bins, by))
 
 
 def bag_batches(rows: DataFrame, bins: Bins, chance: Column, count: int, by=()):
     """:func:`bag_trees` of rows that have their bins, ``_y`` and what ``chance`` reads."""
-    spark, done, step = rows.sparkSession, 0, 1
+    done, step = 0, 1
     while done < count:
         trees = range(done, min(count, done + step))
-        path = count_bags(rows, bins, trees, chance, by)
-        sizes = {}
-
-        def read(tree, path=path, sizes=sizes):
-            part = spark.read.parquet(f"{path}/{TREE}={tree}")
-            sizes[tree] = part.count()
-            return part, sizes[tree]
+        read = _reader(rows.sparkSession, count_bags(rows, bins, trees, chance, by))
         if step == 1 and count > 1:  # the first tree tells how many fit into a pass
             step = max(1, BAG_ROWS // max(1, read(done)[1]))
         yield trees, read
@@ -270,6 +298,8 @@ def tune(train: DataFrame, bins: Bins, estimator, values: dict, label: str, key_
     def weight(fold):
         return total - (size.get(fold, 0) if fold is not None else 0)
 
+    bagged = []
+
     def fitted(jobs) -> dict:
         """Models by (kind, fold) for jobs (kind, fold, number of trees)."""
         found = {(kind, fold): [None] * number for kind, fold, number in jobs}
@@ -284,14 +314,16 @@ def tune(train: DataFrame, bins: Bins, estimator, values: dict, label: str, key_
                 whole.unpersist()
             return found
         seed = estimator.getSeed()
-        for trees, read in bag_trees(train, bins, label, key_cols, seed, max(n for *_, n in jobs), by):
+        if not bagged:
+            bagged.append(bag_rows(train, bins, label, key_cols, seed, groups, by))
+        for trees, read in bag_trees(bagged[0], bins, groups, max(n for *_, n in jobs), by):
             parts_of = dict(zip(trees, _side_by_side(spark, read, trees)))
 
             def one(job):
                 kind, fold, tree = job
                 part, rows = parts_of[tree]
                 params = one_tree(estimator, tree, seed) | kinds[kind][0][2]
-                found[kind, fold][tree] = _ready(estimator, weight(fold), extra=params).fit(fit_rows(bins, outside(part, fold), rows))
+                found[kind, fold][tree] = _ready(estimator, weight(fold), extra=params).fit(fit_rows(bins, outside(part, fold), rows, TREE_ROWS))
             _side_by_side(spark, one, [(kind, fold, t) for t in trees for kind, fold, number in jobs if t < number])
         return found
 

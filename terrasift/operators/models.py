@@ -23,6 +23,7 @@ from terrasift.operators import counted, metrics, splits
 from terrasift.operators.features import feature_stages
 from terrasift.operators.quality import cast_columns, drop_missing, require_columns, require_rows
 from terrasift.registry import DatasetSpec
+from terrasift.session import stage_table
 
 log = logging.getLogger(__name__)
 
@@ -218,7 +219,8 @@ def train_and_score_all(df: DataFrame, spec: DatasetSpec, key_cols=None, trees=A
     require_columns(df, spec.required)
     ready = drop_missing(cast_columns(df, spec.required), spec.required)
     require_rows(ready, 2, spec.name)
-    marked = splits.holdout_split(ready, key_cols or ready.columns)
+    # The rows of a large table are parsed and hashed once: what follows reads them many times.
+    marked = splits.holdout_split(ready, key_cols or ready.columns, staged=ready.count() >= counted.LEAST_ROWS)
     stages = feature_stages(spec.features, scale=False, normalize=False)
     forest, chosen = random_forest(spec.label, numTrees=trees, **params), marked.filter(F.col("split") == "train")
     bins = counted.settle(chosen, spec.features, forest.getMaxBins(), counted.least_rows(forest)) if counted.suits(forest) else None

@@ -47,20 +47,23 @@ def random_parts(df: DataFrame, key_cols, train=0.8, seed=SPLIT_SEED) -> tuple:
     return tuple(parts.filter(F.col("split") == s).drop("split") for s in ("train", "test"))
 
 
-def _cut(df, key_cols, strata, seed, cuts, names, digits):
+def _cut(df, key_cols, strata, seed, cuts, names, digits, staged=False):
     """Split at exact ranks of the order by key hash, then row hash.
 
     Rows that are equal in every column and stand at a cut are numbered, and as
-    many as the cut needs fall below it.
+    many as the cut needs fall below it. ``staged`` writes the rows with their
+    hashes once, so that they are not read and hashed again for every step.
     """
     columns, keys = df.columns, [f"s{i}" for i in range(len(strata))]
     full = F.concat(row_hash(key_cols, seed), F.lower(F.lpad(F.hex(F.xxhash64(*[quoted(c) for c in columns])), 16, "0")))
-    hashed = df.select(*[quoted(s).alias(k) for k, s in zip(keys, strata)], full.alias("h"))
+    marked = df.select(F.struct(*[quoted(c) for c in columns]).alias("_row"), full.alias("_h"),
+                       *[quoted(s).alias(f"_{k}") for k, s in zip(keys, strata)])
+    if staged:
+        marked = stage_table(marked, "hashed")
+    hashed = marked.select(*[F.col(f"_{k}").alias(k) for k in keys], F.col("_h").alias("h"))
     # One row per stratum, staged so the join's broadcast rests on its real size.
     limits = stage_table(hash_thresholds(hashed, keys, cuts, digits), "split-limits")
     places = range(len(names) - 1)
-    marked = df.select(F.struct(*[quoted(c) for c in columns]).alias("_row"), full.alias("_h"),
-                       *[quoted(s).alias(f"_{k}") for k, s in zip(keys, strata)])
     if strata:
         on = F.lit(True)
         for k in keys:
@@ -103,11 +106,11 @@ def stratified_split(df: DataFrame, class_col: str, key_cols, train=TRAIN_SHARE,
     return _cut(df, key_cols, [class_col], seed, cuts, ["train", "val", "test"], digits)
 
 
-def holdout_split(df: DataFrame, key_cols, share=HOLDOUT_SHARE, seed=HOLDOUT_SEED, digits=4) -> DataFrame:
-    """Add ``split`` with ``ceil(share·n)`` test rows, at least one."""
+def holdout_split(df: DataFrame, key_cols, share=HOLDOUT_SHARE, seed=HOLDOUT_SEED, digits=4, staged=False) -> DataFrame:
+    """Add ``split`` with ``ceil(share·n)`` test rows, at least one. ``staged`` is for tables that are read many times."""
     def cuts(n):
         return [n - F.greatest(F.lit(1), F.ceil(F.lit(float(share)) * n))]
-    return _cut(df, key_cols, [], seed, cuts, ["train", "test"], digits)
+    return _cut(df, key_cols, [], seed, cuts, ["train", "test"], digits, staged)
 
 
 def split_sizes(df: DataFrame, *by: str) -> DataFrame:

@@ -58,16 +58,17 @@ def sniff(spark: SparkSession, path: str, delimiter=None, skiprows=0, encodings=
     latin = F.decode(F.col("value").cast("binary"), "ISO-8859-1")
     header_line = re.sub(QUOTED_FIELD, "", head[-1].decode("latin-1"))
     widths = [len(re.split(_regex(s), header_line.strip() if s == r"\s+" else header_line)) for s in candidates]
-    leftovers = F.regexp_replace(latin, GBK_PAIR, "").rlike(r"[\x80-\xFF]")
+    beyond_ascii = r"[\x80-\xFF]"
+    leftovers = latin.rlike(beyond_ascii) & F.regexp_replace(latin, GBK_PAIR, "").rlike(beyond_ascii)
+    # Only a separator that parts the header can be chosen, so only these are counted.
+    usable = [i for i, w in enumerate(widths) if w > 1] or [0]
     facts = lines.agg(
         F.count("*").alias("lines"),
         F.every(F.is_valid_utf8(F.col("value"))).alias("utf-8"),
         F.every(~leftovers).alias("gbk"),
-        *[F.count_if(_field_count(latin, s) == w).alias(f"sep{i}")
-          for i, (s, w) in enumerate(zip(candidates, widths))],
+        *[F.count_if(_field_count(latin, candidates[i]) == widths[i]).alias(f"sep{i}") for i in usable],
     ).first()
     encoding = next((e for e in encodings if e not in ("utf-8", "gbk") or facts[e]), "latin1")
-    usable = [i for i, w in enumerate(widths) if w > 1] or [0]
     best = max(usable, key=lambda i: (facts[f"sep{i}"], -i))
     sep = candidates[best]
     header = head[-1].decode(encoding).lstrip("﻿")
