@@ -11,13 +11,18 @@ from __future__ import annotations
 from itertools import combinations_with_replacement
 
 import numpy as np
+from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from terrasift.functions.numeric import quoted
+from terrasift.operators.counted import ROWS
 from terrasift.operators.models import FOLD, LINEAR_GRID, MODEL_SEED, with_folds
 from terrasift.operators.quality import require_columns
 
 STEPS, TOLERANCE = 10_000, 1e-12  # of the coordinate descent
+MOST_COLUMNS = 20  # whose co-moments are aggregated at once
 
 
 def fold_moments(df: DataFrame, columns, label: str, fold_col: str = FOLD) -> dict:
@@ -80,6 +85,30 @@ def squared_error(moments: tuple, beta, intercept) -> float:
     return float(max(weights @ products @ weights / n, 0.0) + (weights @ means - intercept) ** 2)
 
 
+def suits(estimator, width: int) -> bool:
+    """Whether the fit reads nothing of the rows but what :func:`fold_moments` holds: weighted least squares."""
+    return (isinstance(estimator, LinearRegression) and not estimator.isSet("weightCol") and estimator.getLoss() == "squaredError"
+            and estimator.getSolver() in ("auto", "normal") and width <= MOST_COLUMNS)
+
+
+def moment_rows(df: DataFrame, columns, label: str, total: int, fold_col: str = FOLD) -> DataFrame | None:
+    """A few weighted rows per fold with the count, means and co-moments of all its rows; None if some rows are incomplete.
+
+    A linear model fitted on them, and its squared error on them, are those of the rows.
+    """
+    found, rows = fold_moments(df, columns, label, fold_col), []
+    if sum(n for n, *_ in found.values()) != total:
+        return None
+    for fold, (n, means, products) in sorted(found.items()):
+        spread, k = np.sqrt(np.maximum(np.diag(products) / n, 0.0)), len(means)
+        scale = np.where(spread > 0, spread, 1.0)
+        values, axes = np.linalg.eigh(products / n / np.outer(scale, scale))
+        steps = (axes * np.sqrt(np.maximum(values, 0.0) * k)).T * spread
+        rows += [(int(fold), Vectors.dense(at[:-1]), float(at[-1]), n / (2.0 * k)) for step in steps for at in (means + step, means - step)]
+    names = [StructField(fold_col, IntegerType()), StructField("features", VectorUDT()), StructField(label, DoubleType()), StructField(ROWS, DoubleType())]
+    return df.sparkSession.createDataFrame(rows, StructType(names)).coalesce(1).cache()
+
+
 def linear_grid(df: DataFrame, columns, label: str, key_cols, grid=None, folds: int = 3, seed=MODEL_SEED) -> DataFrame:
     """cell, params, rmse (mean over the folds) and best, for every cell of ``regParam`` and ``elasticNetParam``.
 

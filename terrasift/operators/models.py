@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 import math
-from contextlib import contextmanager
+from contextlib import contextmanager, nullcontext
 from multiprocessing.pool import ThreadPool
 
 from py4j.protocol import Py4JJavaError
@@ -12,6 +12,7 @@ from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import (
     DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor)
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
@@ -19,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from terrasift.functions.hashing import row_hash, unit_interval
 from terrasift.functions.numeric import quoted
+from terrasift.functions.vectors import vector_to_array
 from terrasift.operators import counted, metrics, splits
 from terrasift.operators.features import feature_stages
 from terrasift.operators.quality import cast_columns, drop_missing, require_columns, require_rows
@@ -109,11 +111,11 @@ def with_folds(df: DataFrame, key_cols, folds, seed=MODEL_SEED) -> DataFrame:
     return df.withColumn(FOLD, F.floor(unit_interval(row_hash(key_cols, seed)) * folds).cast("int"))
 
 
-def _validate(rows, estimator, values, label, folds, seed=MODEL_SEED, parallelism=CV_PARALLELISM):
+def _validate(rows, estimator, values, label, folds, seed=MODEL_SEED, parallelism=CV_PARALLELISM, weight=None):
     validator = CrossValidator(
         estimator=estimator, estimatorParamMaps=grid(estimator, values), numFolds=folds, seed=seed,
         foldCol=FOLD, parallelism=parallelism,
-        evaluator=RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="rmse"))
+        evaluator=RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="rmse", **({"weightCol": weight} if weight else {})))
     return validator.fit(rows)
 
 
@@ -170,12 +172,24 @@ def parameter_report(spark: SparkSession, model, name=None) -> DataFrame:
     return spark.createDataFrame(rows, "model string, param string, value string")
 
 
-def fit_features(train: DataFrame, columns, pca_k=None, **options) -> PipelineModel:
-    """Feature pipeline fitted on training rows only."""
+def fit_features(train: DataFrame, columns, pca_k=None, staged=False, **options) -> PipelineModel:
+    """Feature pipeline fitted on training rows only; ``staged`` rows are read where they lie."""
+    if staged:
+        return Pipeline(stages=feature_stages(columns, pca_k, **options)).fit(train.select(*[quoted(c) for c in columns]))
     with training_rows(train, columns) as rows:
         return Pipeline(stages=feature_stages(columns, pca_k, **options)).fit(rows)
 
 
+def narrow_rows(df: DataFrame, label: str, extra=()) -> tuple:
+    """The rows staged with the elements of ``features`` as plain columns, from which ``features`` is made again, and their names."""
+    width = df.select(F.size(vector_to_array("features"))).first()[0]
+    names = [f"_x{k}" for k in range(width)]
+    taken = df.select(vector_to_array("features").alias("_elements"), quoted(label), *extra)
+    kept = [c for c in taken.columns if c != "_elements"]
+    staged = stage_table(taken.select(*[F.col("_elements")[k].alias(n) for k, n in enumerate(names)], *[quoted(c) for c in kept]), "narrow")
+    return VectorAssembler(inputCols=names, outputCol="features", handleInvalid="keep").transform(staged), names
+
+
 def leaderboard(train: DataFrame, test: DataFrame, models: dict, label: str, key_cols, folds=3,
                 parallelism=CV_PARALLELISM) -> DataFrame:
     """RMSE, within-threshold accuracy and chosen parameters of each model, measured on ``test``.
@@ -184,17 +198,33 @@ def leaderboard(train: DataFrame, test: DataFrame, models: dict, label: str, key
     others are still compared. Both tables need a ``features`` vector. The
     models do not depend on each other and are fitted side by side.
     """
+    from terrasift.operators import fold_sums
     spark = train.sparkSession
-    whole = with_folds(train, key_cols, folds)
+    whole, elements, sums = with_folds(train, key_cols, folds), "features", None
+    # The rows of a large table are split, scaled and hashed once.
+    if (total := train.count()) >= counted.LEAST_ROWS:
+        key = counted.row_key([*dict.fromkeys([*key_cols, "features", label])]).alias(counted.ROW_KEY)
+        (whole, elements), (test, _) = narrow_rows(whole, label, [F.col(FOLD), key]), narrow_rows(test, label)
+        if any(fold_sums.suits(e, len(elements)) for e, _ in models.values()):
+            sums = fold_sums.moment_rows(whole, elements, label, total)
     # Trees of any kind read the rows of a large table as counted bins, by their own number of bins.
-    wanted = {(e.getMaxBins(), counted.least_rows(e)) for e, _ in models.values() if counted.suits(e)}
-    settled = {key: counted.settle(whole, "features", *key) for key in wanted}
-    with training_rows(whole, ["features", label, FOLD]) as train, training_rows(test, ["features", label]) as test:
+    wanted = [(e.getMaxBins(), counted.least_rows(e)) for e, _ in models.values() if counted.suits(e)]
+    settled = {bins: counted.settle(whole, elements, bins, min(n for b, n in wanted if b == bins)) for bins in {b for b, _ in wanted}}
+
+    def bins_of(estimator):
+        found = settled[estimator.getMaxBins()] if counted.suits(estimator) else None
+        return found if found and found.rows >= counted.least_rows(estimator) else None
+    held = nullcontext(test) if elements != "features" else training_rows(test, ["features", label])
+    with training_rows(whole, ["features", label, FOLD]) as train, held as test:
         def compare(entry):
             name, (estimator, values) = entry
             try:
-                bins = settled[estimator.getMaxBins(), counted.least_rows(estimator)] if counted.suits(estimator) else None
-                if bins:
+                bins = bins_of(estimator)
+                if sums is not None and fold_sums.suits(estimator, len(elements)):
+                    weighted = estimator.copy({estimator.weightCol: counted.ROWS})
+                    fitted = (_validate(sums, weighted, values, label, folds, weight=counted.ROWS).bestModel if values
+                              else weighted.fit(sums))
+                elif bins:
                     fitted = counted.tune(whole, bins, estimator, values, label, [*key_cols, "features"], folds, FOLD)
                 else:
                     fitted = (_validate(train, estimator, values, label, folds).bestModel if values

@@ -42,8 +42,10 @@ def random_split(df: DataFrame, key_cols, train=0.8, seed=SPLIT_SEED) -> DataFra
     return df.select("*", F.when(draw < train, "train").otherwise("test").alias("split"))
 
 
-def random_parts(df: DataFrame, key_cols, train=0.8, seed=SPLIT_SEED) -> tuple:
+def random_parts(df: DataFrame, key_cols, train=0.8, seed=SPLIT_SEED, staged=False) -> tuple:
+    """Both parts of :func:`random_split`; ``staged`` writes the split rows once, for tables that are read many times."""
     parts = random_split(df, key_cols, train, seed)
+    parts = stage_table(parts, "split") if staged else parts
     return tuple(parts.filter(F.col("split") == s).drop("split") for s in ("train", "test"))
 
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrasift.operators import features, models, quality, splits
+from terrasift.functions.numeric import quoted
+from terrasift.operators import counted, features, models, quality, splits
 from terrasift.registry import DatasetSpec, dataset
 from terrasift.sources import headers, sinks, sniff, tables
 
@@ -44,10 +45,13 @@ def compare_models(df: DataFrame, spec: DatasetSpec, key_cols=None, candidates=N
     needed = [*columns, spec.label]
     quality.require_columns(df, needed)
     ready = quality.drop_missing(quality.cast_columns(df, needed), needed)
-    train, test = splits.random_parts(ready, key_cols, seed=seed)
+    large = ready.count() >= counted.LEAST_ROWS
+    if large:  # keys and what is compared are all that is read again
+        ready = ready.select(*[quoted(c) for c in dict.fromkeys([*key_cols, *needed])])
+    train, test = splits.random_parts(ready, key_cols, seed=seed, staged=large)
     quality.require_rows(train, 2, f"{spec.name} train")
     quality.require_rows(test, 1, f"{spec.name} test")
-    pipeline = models.fit_features(train, columns, spec.pca_k)
+    pipeline = models.fit_features(train, columns, spec.pca_k, staged=large)
     return models.leaderboard(pipeline.transform(train), pipeline.transform(test),
                               candidates or models.candidates(spec.label), spec.label, key_cols, spec.folds)
 
